@@ -25,13 +25,3 @@ def hours_between(later: Column, earlier: Column) -> Column:
 def midnight(date_text: Column) -> Column:
     return F.to_timestamp(date_text, "yyyy-MM-dd")
 
-
-def fixed_point_average(column: Column, digits: int) -> Column:
-    """Average of values that carry at most ``digits`` decimals, rounded to as many.
-
-    The sum is taken over whole numbers, so it does not depend on the order in
-    which partitions arrive, and a re-run gives the same last digit.
-    """
-    scale = float(10**digits)
-    units = F.sum(F.round(column * F.lit(scale)).cast("bigint"))
-    return F.round(units / F.count(column)) / F.lit(scale)

@@ -8,6 +8,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The entities that make up nearly all of them in user-written
 # HTML. "&amp;" stays last, so that "&amp;lt;" becomes "&lt;" and no more.
@@ -30,9 +31,13 @@ _SPACES = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u
 _WORD = r"[\p{L}\p{N}_]{2,}"
 
 
-@F.pandas_udf("string")
-def _decode_any(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+def _entity_decoder():
+    # An inner function travels to the workers by value, so they need not have
+    # this package installed.
+    def decode(texts: pd.Series) -> pd.Series:
+        return texts.map(html.unescape, na_action="ignore")
+
+    return F.pandas_udf(decode, T.StringType())
 
 
 def strip_tags(text: Column) -> Column:
@@ -49,7 +54,7 @@ def decode_entities(text: Column) -> Column:
     native = reduce(
         lambda done, pair: F.replace(done, F.lit(pair[0]), F.lit(pair[1])), _PLAIN_ENTITIES, text
     )
-    return F.coalesce(_decode_any(F.when(text.rlike(_OTHER_ENTITY), text)), native)
+    return F.coalesce(_entity_decoder()(F.when(text.rlike(_OTHER_ENTITY), text)), native)
 
 
 def squeeze_spaces(text: Column) -> Column:

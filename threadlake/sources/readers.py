@@ -73,14 +73,17 @@ def reader_schema(schema: T.StructType, fmt: str) -> T.StructType:
 
 def _json_rows(df: DataFrame, bad: str) -> DataFrame:
     """Rows that parsed. ``bad="file"`` also drops the other rows of a file with a bad line."""
-    good = df.where(F.col(_CORRUPT).isNull())
+    first = df.columns[0]
+    # Spark refuses to scan JSON for the bad-line column alone, as a count
+    # would; a condition on another column, always true, keeps that one read.
+    readable = F.length(F.concat(F.coalesce(F.col(first).cast("string"), F.lit("")), F.lit("."))) > 0
+    good = df.where(F.col(_CORRUPT).isNull() & readable)
     if bad == "row":
         return good.drop(_CORRUPT)
-    first = df.columns[0]
-    files = df.where(F.col(_CORRUPT).isNotNull()).groupBy(_FILE).agg(F.max(first).alias("_any"))
+    files = df.where(F.col(_CORRUPT).isNotNull() & readable).select(_FILE).distinct()
     # Staged, so that its size is known: few bad files are broadcast, many are not.
     staged, _ = stage(files, "bad-files")
-    return good.join(staged.select(_FILE), _FILE, "left_anti").drop(_CORRUPT)
+    return good.join(staged, _FILE, "left_anti").drop(_CORRUPT)
 
 
 def read_partition(
