@@ -1,4 +1,4 @@
-"""Small word tables as constants of the plan."""
+"""Small word tables as constants of the plan, and names within expressions."""
 
 from __future__ import annotations
 
@@ -34,3 +34,13 @@ def literal_lookup(table: Mapping[str, float]) -> Callable[[Column], Column]:
         return F.element_at(F.element_at(constant, slot), word)
 
     return find
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once however often it is used.
+
+    A column added for the purpose would not do: a filter on the result may be
+    pushed below it, and the optimizer then writes its whole expression into
+    every use, also into those inside a loop over an array.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -7,20 +7,21 @@ squeezed into -1..1. The default lexicon is a short list of our own, so scores
 are not those of any published lexicon; give a full one for real work. Emoji
 and multi-word idioms are not treated.
 
-A text is one fold over its words that remembers the three words before. It
-stays in its row: no exploded words, no shuffle, no Python worker.
+A text stays in its row: its words are an array, the few that the lexicon knows
+look at their neighbours by position, and nothing is exploded, shuffled or sent
+to a Python worker.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlake.functions.labels import sentiment_label
-from threadlake.functions.lookup import literal_lookup
+from threadlake.functions.lookup import let, literal_lookup
 from threadlake.functions.text import clean_html, word_tokens
 
 # Fixed values of the published method.
@@ -84,19 +85,14 @@ class SentimentRules:
     contrast: str = "but"
 
 
-_PUNCTUATION = r"[!-/:-@\[-`{-~]+"
-
-
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, which is evaluated once however often it is used."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def sentiment_words(clean: Column) -> Column:
     """Blank-separated words; punctuation at the ends goes if over two letters stay."""
 
     def bare(word: Column) -> Column:
-        inner = F.regexp_replace(word, f"^{_PUNCTUATION}|{_PUNCTUATION}$", "")
+        inner = F.btrim(word, F.lit(PUNCTUATION))
         return F.when(F.length(inner) > 2, inner).otherwise(word)
 
     return F.transform(F.filter(F.split(clean, " "), lambda w: w != ""), bare)
@@ -106,129 +102,124 @@ def _in_capitals(word: Column) -> Column:
     return (word == F.upper(word)) & (word != F.lower(word))
 
 
-def _word_state(word: Column, degree: Column, capitals: Column, known: Column) -> Column:
-    return F.struct(
-        word.alias("word"), degree.alias("degree"), capitals.alias("capitals"), known.alias("known")
-    )
-
-
 def valence_sum(
     words: Column, lexicon: Mapping[str, float], rules: SentimentRules
 ) -> Column:
-    """The summed valence of an array of words. ``words`` should be a plain column."""
+    """The summed valence of an array of words."""
     valence_of = literal_lookup(lexicon)
     degree_of = literal_lookup(rules.degrees)
     negations = sorted(rules.negations)
 
-    with_next = F.zip_with(
-        words,
-        F.concat(F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(1))), F.array(F.lit(""))),
-        lambda word, following: F.struct(word.alias("word"), F.lower(following).alias("next")),
-    )
-    nothing = _word_state(F.lit(""), F.lit(0.0), F.lit(False), F.lit(True))
-    start = F.struct(
-        nothing.alias("one"),
-        nothing.alias("two"),
-        nothing.alias("three"),
-        F.lit(0.0).alias("sum"),
-        F.lit(False).alias("contrast"),
-        # Capitals mean something only where not every word has them.
-        (
-            F.exists(words, _in_capitals) & F.exists(words, lambda w: ~_in_capitals(w))
-        ).alias("mixed"),
-    )
-
-    def negates(word: Column) -> Column:
-        return word.isin(negations) | word.contains("n't")
-
-    def shifted(value: Column, before: Column, distance: int, mixed: Column) -> Column:
-        """``value`` moved by the degree of the word ``distance`` back."""
-        sign = F.when(value < 0, -1.0).otherwise(1.0)
-        towards = F.when(value > 0, 1.0).otherwise(-1.0)
-        loud = F.when(before["capitals"] & mixed, towards * CAPITALS_STEP).otherwise(0.0)
-        step = F.when(before["degree"] == 0.0, 0.0).otherwise(before["degree"] * sign + loud)
-        return value + step * DISTANCE_FACTORS[distance]
-
-    def negated(value: Column, at: Column, nearer: list[Column]) -> Column:
-        """``value`` turned by a negation ``at``, with the words between it and us."""
-        result = F.when(negates(at), value * NEGATION_FACTOR).otherwise(value)
-        if not nearer:
-            return result
-        so = nearer[0].isin("so", "this")
-        doubt = nearer[0] == "doubt"
-        for word in nearer[1:]:
-            so = so | word.isin("so", "this")
-            doubt = doubt | (word == "doubt")
-        return (
-            F.when((at == "never") & so, value * NEVER_SO_FACTOR)
-            .when((at == "without") & doubt, value)
-            .otherwise(result)
-        )
+    def total(shown: Column, low: Column, valences: Column, mixed: Column, turn: Column) -> Column:
+        """``low`` are the words in lower case, ``turn`` the place of the contrast word."""
+
+        def word(at: Column) -> Column:
+            return F.when(at < 0, "").otherwise(F.coalesce(F.get(low, at), F.lit("")))
+
+        def known(at: Column) -> Column:
+            """No word at all counts as known: it changes nothing."""
+            return (at < 0) | F.get(valences, at).isNotNull()
+
+        def loud(at: Column) -> Column:
+            return mixed & _in_capitals(F.get(shown, at))
+
+        def negates(name: Column) -> Column:
+            return name.isin(negations) | name.contains("n't")
+
+        def moved(value: Column, at: Column, distance: int) -> Column:
+            """``value`` moved by the degree of the word ``at``."""
+            sign = F.when(value < 0, -1.0).otherwise(1.0)
+            towards = F.when(value > 0, CAPITALS_STEP).otherwise(-CAPITALS_STEP)
+
+            def by(degree: Column) -> Column:
+                step = degree * sign + F.when(loud(at), towards).otherwise(0.0)
+                return F.when(degree.isNull() | (degree == 0.0), value).otherwise(
+                    value + step * DISTANCE_FACTORS[distance]
+                )
+
+            return let(degree_of(word(at)), by)
+
+        def negated(value: Column, at: Column, nearer: list[Column]) -> Column:
+            """``value`` turned by a negation ``at``, given the words between."""
+            turned = F.when(negates(word(at)), value * NEGATION_FACTOR).otherwise(value)
+            if not nearer:
+                return turned
+            so, doubt = F.lit(False), F.lit(False)
+            for other in nearer:
+                so = so | word(other).isin("so", "this")
+                doubt = doubt | (word(other) == "doubt")
+            return (
+                F.when((word(at) == "never") & so, value * NEVER_SO_FACTOR)
+                .when((word(at) == "without") & doubt, value)
+                .otherwise(turned)
+            )
 
-    def context(value: Column, state: Column) -> Column:
-        """``value`` after the three words before had their effect, nearest first."""
-        before = [state["one"], state["two"], state["three"]]
-        names = [word["word"] for word in before]
+        def after(value: Column, place: Column, distance: int) -> Column:
+            """``value`` after the word ``distance + 1`` places back had its effect."""
+            at = place - (distance + 1)
+            nearer = [place - (step + 1) for step in range(distance)]
+            effect = let(moved(value, at, distance), lambda v: negated(v, at, nearer))
+            return F.when(known(at), value).otherwise(effect)
+
+        def in_context(value: Column, place: Column) -> Column:
+            before = place - 1
+            least = (
+                (word(before) == "least")
+                & ~known(before)
+                & ~word(place - 2).isin("at", "very")
+            )
+            return let(
+                let(after(value, place, 0), lambda one: let(
+                    after(one, place, 1), lambda two: after(two, place, 2)
+                )),
+                lambda v: F.when(least, v * NEGATION_FACTOR).otherwise(v),
+            )
 
-        def at(distance: int, current: Column) -> Column:
-            word = before[distance]
-            effect = _let(
-                shifted(current, word, distance, state["mixed"]),
-                lambda moved: negated(moved, names[distance], names[:distance]),
+        def own_value(valence: Column, place: Column) -> Column:
+            one, two, three = word(place - 1), word(place - 2), word(place - 3)
+            refused = (one == "no") | (two == "no") | ((three == "no") & one.isin("or", "nor"))
+            determiner = (word(place) == "no") & F.get(valences, place + 1).isNotNull()
+            plain = F.when(refused, valence * NEGATION_FACTOR).when(determiner, 0.0)
+            step = F.when(valence > 0, CAPITALS_STEP).otherwise(-CAPITALS_STEP)
+            return plain.otherwise(valence) + F.when(loud(place), step).otherwise(0.0)
+
+        def contribution(valence: Column, place: Column) -> Column:
+            name = word(place)
+            degree = degree_of(name)
+            silent = (degree.isNotNull() & (degree != 0.0)) | (
+                (name == "kind") & (word(place + 1) == "of")
             )
-            return F.when(word["known"], current).otherwise(effect)
-
-        after = _let(at(0, value), lambda a: _let(at(1, a), lambda b: at(2, b)))
-        least = (names[0] == "least") & ~before[0]["known"] & ~names[1].isin("at", "very")
-        return _let(after, lambda v: F.when(least, v * NEGATION_FACTOR).otherwise(v))
-
-    def word_value(base: Column, item: Column, lower: Column, state: Column) -> Column:
-        one, two, three = (state[name]["word"] for name in ("one", "two", "three"))
-        refused = (one == "no") | (two == "no") | ((three == "no") & one.isin("or", "nor"))
-        spoken = (
-            F.when((lower == "no") & valence_of(item["next"]).isNotNull(), F.lit(0.0))
-            .otherwise(base)
-        )
-        turned = F.when(refused, base * NEGATION_FACTOR).otherwise(spoken)
-        loud = F.when(
-            state["mixed"] & _in_capitals(item["word"]),
-            F.when(base > 0, CAPITALS_STEP).otherwise(-CAPITALS_STEP),
-        ).otherwise(0.0)
-        return _let(turned + loud, lambda value: context(value, state))
-
-    def step(state: Column, item: Column) -> Column:
-        def settle(seen: Column) -> Column:
-            lower, base, degree = seen["lower"], seen["valence"], seen["degree"]
-            plain = base.isNull() | (degree != 0.0) | ((lower == "kind") & (item["next"] == "of"))
-            value = F.when(plain, F.lit(0.0)).otherwise(word_value(base, item, lower, state))
-            turn = (lower == rules.contrast) & ~state["contrast"]
-            weight = F.when(state["contrast"], AFTER_BUT).otherwise(1.0)
-            return F.struct(
-                _word_state(
-                    lower, degree, _in_capitals(item["word"]), base.isNotNull()
-                ).alias("one"),
-                state["one"].alias("two"),
-                state["two"].alias("three"),
-                F.when(turn, state["sum"] * BEFORE_BUT + value)
-                .otherwise(state["sum"] + value * weight)
-                .alias("sum"),
-                (state["contrast"] | turn).alias("contrast"),
-                state["mixed"].alias("mixed"),
+            weight = (
+                F.when(turn == 0, 1.0)
+                .when(place < turn - 1, BEFORE_BUT)
+                .when(place > turn - 1, AFTER_BUT)
+                .otherwise(1.0)
             )
+            value = let(own_value(valence, place), lambda v: in_context(v, place))
+            return F.when(silent, 0.0).otherwise(value * weight)
 
-        return _let(
-            F.lower(item["word"]),
-            lambda lower: _let(
-                F.struct(
-                    lower.alias("lower"),
-                    valence_of(lower).alias("valence"),
-                    F.coalesce(degree_of(lower), F.lit(0.0)).alias("degree"),
-                ),
-                settle,
+        values = F.transform(
+            valences,
+            lambda valence, place: F.when(valence.isNull(), 0.0).otherwise(
+                contribution(valence, place)
             ),
         )
-
-    return F.aggregate(with_next, start, step, lambda state: state["sum"])
+        return F.aggregate(values, F.lit(0.0), lambda done, value: done + value)
+
+    # Capitals mean something only where not every word has them.
+    def mixed_case(shown: Column) -> Column:
+        return F.exists(shown, _in_capitals) & F.exists(shown, lambda w: ~_in_capitals(w))
+
+    return let(words, lambda shown: let(
+        F.transform(shown, F.lower), lambda low: let(
+            F.transform(low, valence_of), lambda valences: let(
+                mixed_case(shown), lambda mixed: let(
+                    F.array_position(low, rules.contrast),
+                    lambda turn: total(shown, low, valences, mixed, turn),
+                )
+            )
+        )
+    ))
 
 
 def _emphasis(clean: Column) -> Column:
@@ -256,24 +247,22 @@ def add_sentiment(
     """
     lexicon = DEFAULT_LEXICON if lexicon is None else lexicon
     rules = rules or SentimentRules()
-    total = F.col("_valence")
-    emphasis = F.when(total > 0, F.col("_emphasis")).when(total < 0, -F.col("_emphasis"))
-    summed = total + F.coalesce(emphasis, F.lit(0.0))
+
+    def score(total: Column) -> Column:
+        emphasis = _emphasis(F.col("_clean"))
+        return let(
+            F.when(total > 0, total + emphasis).when(total < 0, total - emphasis).otherwise(0.0),
+            lambda sum_: F.round(sum_ / F.sqrt(sum_ * sum_ + F.lit(SPREAD)), 4),
+        )
+
     return (
         df.withColumn("_clean", clean_html(F.col(column)))
-        .withColumns(
-            {"_words": sentiment_words(F.col("_clean")), "_emphasis": _emphasis(F.col("_clean"))}
-        )
-        .withColumn("_valence", valence_sum(F.col("_words"), lexicon, rules))
-        .withColumn("_summed", summed)
         .withColumn(
             "sentiment_score",
-            F.round(
-                F.col("_summed") / F.sqrt(F.col("_summed") * F.col("_summed") + F.lit(SPREAD)), 4
-            ),
+            let(valence_sum(sentiment_words(F.col("_clean")), lexicon, rules), score),
         )
         .withColumn("sentiment_label", sentiment_label(F.col("sentiment_score")))
-        .drop("_clean", "_words", "_emphasis", "_valence", "_summed")
+        .drop("_clean")
     )
 
 

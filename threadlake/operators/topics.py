@@ -14,7 +14,7 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlake.functions.lookup import MAX_TABLE_WORDS, literal_lookup
+from threadlake.functions.lookup import MAX_TABLE_WORDS, let, literal_lookup
 from threadlake.functions.text import word_tokens
 
 MAX_FEATURES = 100  # fixed value
@@ -101,16 +101,16 @@ def score_terms(
         return df.withColumn(output, F.array().cast("array<string>"))
     idf = literal_lookup(idf_of)
 
-    def weight(term: Column) -> Column:
-        tf = F.size(F.filter("_hits", lambda other: other == term))
-        return F.struct((tf * idf(term)).alias("weight"), term.alias("term"))
+    def best(hits: Column) -> Column:
+        def weight(term: Column) -> Column:
+            tf = F.size(F.filter(hits, lambda other: other == term))
+            return F.struct((tf * idf(term)).alias("weight"), term.alias("term"))
 
-    ranked = F.sort_array(F.transform(F.array_distinct("_hits"), weight), asc=False)
-    return (
-        df.withColumn("_hits", F.filter(word_tokens(F.col(column)), lambda t: idf(t).isNotNull()))
-        .withColumn(output, F.transform(F.slice(ranked, 1, top_n), lambda e: e["term"]))
-        .drop("_hits")
-    )
+        ranked = F.sort_array(F.transform(F.array_distinct(hits), weight), asc=False)
+        return F.transform(F.slice(ranked, 1, top_n), lambda entry: entry["term"])
+
+    hits = F.filter(word_tokens(F.col(column)), lambda token: idf(token).isNotNull())
+    return df.withColumn(output, let(hits, best))
 
 
 def top_terms(

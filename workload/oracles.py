@@ -149,14 +149,14 @@ stories AS (
 )"""
 
 SPACES = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-# The entities that occur in the given tables.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")]
+# The entities that occur in the given tables; the semicolon may be missing.
+ENTITIES = [("&lt;?", "<"), ("&gt;?", ">"), ("&quot;?", '"'), ("&copy;?", "©"), ("&middot;?", "·"), ("&amp;?", "&")]
 
 
 def _clean(column: str) -> str:
     sql = f"regexp_replace(coalesce({column}, ''), '<[^>]+>', ' ', 'g')"
     for entity, character in ENTITIES:
-        sql = f"replace({sql}, '{entity}', '{character}')"
+        sql = f"regexp_replace({sql}, '{entity}', '{character}', 'g')"
     return f"trim(regexp_replace({sql}, '{SPACES}', ' ', 'g'))"
 
 
