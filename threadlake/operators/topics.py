@@ -26,12 +26,6 @@ def default_stop_words(spark: SparkSession) -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def content_tokens(text: Column, stop_words: Iterable[str]) -> Column:
-    words = sorted(stop_words)
-    tokens = word_tokens(text)
-    return F.filter(tokens, lambda token: ~token.isin(words)) if words else tokens
-
-
 def fit_vocabulary(
     df: DataFrame,
     column: str = "title",
@@ -49,25 +43,24 @@ def fit_vocabulary(
     spark = df.sparkSession
     stop = default_stop_words(spark) if stop_words is None else list(stop_words)
     total = df.agg(F.count(F.lit(1)).alias("n"))
-    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
 
-    def entry(tf: Column, df: Column):
-        return lambda term: F.struct(term.alias("term"), tf.alias("tf"), df.alias("df"))
+    # Two lists per title: its words for tf, its distinct words for df. Both are
+    # counts by term then, which map tasks combine before the shuffle.
+    def listing(repeats: bool, words: Column) -> Column:
+        return F.struct(F.lit(repeats).alias("repeats"), words.alias("words"))
 
-    # Every occurrence once for tf, every distinct term of the title once for df:
-    # two sums, so map tasks combine both before the shuffle.
-    counted = (
-        df.select(content_tokens(F.col(column), stop).alias("tokens"))
-        .select(
-            F.explode(
-                F.concat(
-                    F.transform("tokens", entry(one, none)),
-                    F.transform(F.array_distinct("tokens"), entry(none, one)),
-                )
-            ).alias("e")
-        )
-        .groupBy(F.col("e.term").alias("term"))
-        .agg(F.sum("e.tf").alias("tf"), F.sum("e.df").alias("df"))
+    lists = F.array(
+        listing(True, F.col("tokens")), listing(False, F.array_distinct("tokens"))
+    )
+    words = (
+        df.select(word_tokens(F.col(column)).alias("tokens"))
+        .select(F.explode(lists).alias("list"))
+        .select("list.repeats", F.explode("list.words").alias("term"))
+    )
+    if stop:
+        words = words.where(~F.col("term").isin(stop))
+    counted = words.groupBy("term").agg(
+        F.count_if("repeats").alias("tf"), F.count_if(~F.col("repeats")).alias("df")
     )
     n = total.scalar()
     return (
