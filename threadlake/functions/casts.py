@@ -6,10 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
 _DECIMAL_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 _LAST_SECOND_OF_9999 = 253402300799
 
 
+# A cast that fails costs an exception per row inside Spark, even when it yields
+# null; the patterns keep it to text that will do.
+
+
 def lenient_double(column: Column) -> Column:
     """Text to double; anything but a plain decimal number becomes null."""
     text = column.cast("string")
@@ -19,11 +24,13 @@ def lenient_double(column: Column) -> Column:
 def lenient_long(column: Column) -> Column:
     """Text to bigint. ``1e3`` and ``7.0`` count as whole numbers, ``12.5`` does not.
 
-    The direct cast goes first, so ids above 2^53 keep every digit.
+    Digits alone are cast directly, so ids above 2^53 keep every one.
     """
-    number = lenient_double(column)
-    whole = F.when(number == F.floor(number), number.try_cast("bigint"))
-    return F.coalesce(column.cast("string").try_cast("bigint"), whole)
+    text = column.cast("string")
+    number = text.try_cast("double")
+    return F.when(text.rlike(_WHOLE_NUMBER), text.try_cast("bigint")).when(
+        text.rlike(_DECIMAL_NUMBER) & (number == F.floor(number)), number.try_cast("bigint")
+    )
 
 
 def lenient_boolean(column: Column) -> Column:

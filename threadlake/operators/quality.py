@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from threadlake.functions.casts import lenient_double
 from threadlake.operators.integrity import count_unmatched, key_set, rows_not_in
 from threadlake.schemas import CHECK_RESULT, QUALITY_REPORT
+from threadlake.session import rows_frame
 
 CRITICAL, WARNING = "critical", "warning"
 SAMPLE_SIZE = 10  # fixed value
@@ -331,7 +332,7 @@ def enriched_comment_suite() -> list[CheckSpec]:
 
 
 def check_table(spark: SparkSession, results: Sequence[CheckResult]) -> DataFrame:
-    return spark.createDataFrame([result.to_dict() for result in results], CHECK_RESULT)
+    return rows_frame(spark, [result.to_dict() for result in results], CHECK_RESULT)
 
 
 def build_report(checks: DataFrame, date: str, generated_at: str) -> DataFrame:

@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from threadlake.functions.casts import lenient_long
+from threadlake.functions.casts import lenient
 from threadlake.functions.numbers import (
     hours_between,
     midnight,
@@ -43,9 +44,8 @@ def engagement_metrics(
     """
     observations = merge_prefer(history, target, ["id", "ingestion_date"], order)
     for column in ("score", "descendants"):
-        observations = observations.withColumn(
-            column, F.coalesce(lenient_long(F.col(column)), F.lit(0))
-        )
+        number = lenient(F.col(column), T.LongType(), observations.schema[column].dataType)
+        observations = observations.withColumn(column, F.coalesce(number, F.lit(0)))
 
     by_date = Window.partitionBy("id").orderBy("ingestion_date")
     whole = by_date.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from threadlake.functions.casts import lenient_double, lenient_long
+from threadlake.functions.casts import lenient, lenient_double
 from threadlake.operators.integrity import rows_in
 
 # Fixed values.
@@ -43,11 +43,11 @@ def keeps_interest(last_updated: Column, as_of: str, tracking_days: int = TRACKI
 
 def story_metrics(stories: DataFrame) -> DataFrame:
     """``story_id, score, descendants`` with 0 for what is missing."""
-    return stories.select(
-        F.col("id").alias("story_id"),
-        F.coalesce(lenient_long(F.col("score")), F.lit(0)).alias("score"),
-        F.coalesce(lenient_long(F.col("descendants")), F.lit(0)).alias("descendants"),
-    )
+    def number(column: str) -> Column:
+        value = lenient(F.col(column), T.LongType(), stories.schema[column].dataType)
+        return F.coalesce(value, F.lit(0)).alias(column)
+
+    return stories.select(F.col("id").alias("story_id"), number("score"), number("descendants"))
 
 
 def tracked_ids(state: DataFrame) -> DataFrame:

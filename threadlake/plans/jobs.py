@@ -8,6 +8,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from threadlake.operators import quality, tracking
 from threadlake.operators.conform import (
@@ -34,7 +35,7 @@ from threadlake.schemas import (
     OUTPUT_COMMENT,
     OUTPUT_STORY,
 )
-from threadlake.session import stage
+from threadlake.session import rows_frame, stage
 from threadlake.sources.layout import Lake
 from threadlake.sources.readers import ARRIVAL, read_partition, read_window
 from threadlake.sources.state import load_state, save_state
@@ -229,13 +230,23 @@ def process_day(
 def _drop_orphans(
     stories: DataFrame, comments: DataFrame, count: int, cascade: bool
 ) -> tuple[DataFrame, int]:
-    """Comments with a known parent; with ``cascade``, also none below a dropped one."""
+    """Comments with a known parent; with ``cascade``, also none below a dropped one.
+
+    A cascade works on ids and parents only, one round per level of dropped
+    replies, and takes the rows themselves at the end.
+    """
+    story_ids = stories.select("id")
+    if not cascade:
+        keys = key_set(story_ids, comments.select("id"))
+        return stage(rows_in(comments, "parent", keys), "with-parent")
+    links, left = comments.select("id", "parent"), count
     while True:
-        keys = key_set(stories.select("id"), comments.select("id"))
-        kept, kept_count = stage(rows_in(comments, "parent", keys), "with-parent")
-        if not cascade or kept_count == count:
-            return kept, kept_count
-        comments, count = kept, kept_count
+        links, kept = stage(
+            rows_in(links, "parent", key_set(story_ids, links.select("id"))), "links"
+        )
+        if kept == left:
+            return stage(rows_in(comments, "id", key_set(links)), "with-ancestors")
+        left = kept
 
 
 def _input_stats(
@@ -330,8 +341,8 @@ def run_day(
 def stats_frame(spark: SparkSession, stats: Mapping[str, object]) -> DataFrame:
     """The counts of a job as a one-row frame."""
     counts = {name: value for name, value in stats.items() if isinstance(value, int)}
-    schema = ", ".join(f"`{name}` bigint" for name in counts)
-    return spark.createDataFrame([tuple(counts.values())], schema)
+    schema = T.StructType([T.StructField(name, T.LongType()) for name in counts])
+    return rows_frame(spark, [counts], schema)
 
 
 __all__ = [

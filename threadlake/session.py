@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -58,6 +61,14 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def rows_frame(
+    spark: SparkSession, rows: Sequence[Mapping[str, object]], schema: T.StructType
+) -> DataFrame:
+    """A few rows of the driver's own (results, manifest) as a constant of the plan."""
+    array = F.from_json(F.lit(json.dumps(list(rows))), T.ArrayType(schema))
+    return spark.range(1).select(F.inline(array))
+
+
 def stage(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """Write ``df`` once to the shared folder and read it back, with its row count.
 

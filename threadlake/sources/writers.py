@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from threadlake.schemas import MANIFEST, PARTITION_COLUMN
+from threadlake.session import rows_frame
 from threadlake.sources.layout import FORMATS, LAYERS, Lake, require
 
 COMMENTS_PER_FILE = 1000  # fixed value: the landing batch
@@ -83,5 +84,4 @@ def record_write(
         "ingestion_timestamp": datetime.now(UTC).replace(tzinfo=None).isoformat(),
         "extras": {key: str(value) for key, value in (extras or {}).items()},
     }
-    manifest = df.sparkSession.createDataFrame([row], MANIFEST).coalesce(1)
-    manifest.write.mode("append").json(lake.manifest)
+    rows_frame(df.sparkSession, [row], MANIFEST).coalesce(1).write.mode("append").json(lake.manifest)
