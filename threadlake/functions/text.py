@@ -86,4 +86,4 @@ def word_tokens(text: Column) -> Column:
 
 def csv_terms(text: Column) -> Column:
     """The trimmed parts of a comma-separated string."""
-    return F.transform(F.split(text, ","), F.trim)
+    return F.transform(F.split(text, ","), lambda part: F.trim(part))
