@@ -1,3 +1,5 @@
+import html
+import html.entities
 import math
 import random
 import sys
@@ -151,3 +153,30 @@ def test_empty_lookup(spark):
 def test_let_evaluates_in_place(spark):
     assert value(spark, lookup.let(F.lit(3), lambda x: x * x + x)) == 12
     assert math.isclose(value(spark, lookup.let(F.lit(2.0), lambda x: F.sqrt(x) * F.sqrt(x))), 2.0)
+
+
+def unescaped(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    return [row[0] for row in df.orderBy("i").select(text.decode_entities(F.col("t"))).collect()]
+
+
+def test_every_named_reference(spark):
+    texts = [f"a &{name} b" for name in html.entities.html5]
+    assert unescaped(spark, texts) == [html.unescape(t) for t in texts]
+
+
+def test_numbered_references(spark):
+    numbers_ = [*range(0x180), *range(0xD7F0, 0xE010), *range(0xFDC0, 0xFE00), *range(0xFEF0, 0x10010)]
+    numbers_ += [0x1F600, 0x10FFFD, 0x10FFFE, 0x10FFFF, 0x110000, 10**7, 10**25]
+    texts = [f"&#{n};" for n in numbers_] + [f"x&#x{n:X}y" for n in numbers_] + [f"&#X000{n:x};" for n in numbers_]
+    assert unescaped(spark, texts) == [html.unescape(t) for t in texts]
+
+
+def test_random_references(spark):
+    draw = random.Random(3)
+    parts = [
+        "&", "amp", ";", "lt", "&lt", "gt;", "&copy", "not", "it;", "#", "x", "41", "0", "&#", "&#x", "é",
+        " ", "\n", "\t", "quot", "&quot;", "&notin;", "CounterClockwiseContourIntegral;", "q" * 33, "<", "&&",
+    ]
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(1, 12))) for _ in range(3000)]
+    assert unescaped(spark, texts) == [html.unescape(t) for t in texts]

@@ -1,0 +1,162 @@
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import plan, rows
+from threadlake.operators import sentiment, topics
+from threadlake.operators.sentiment import SentimentRules, add_sentiment
+
+
+def titles(spark, *values):
+    return spark.createDataFrame(list(enumerate(values)), "id bigint, title string")
+
+
+def test_vocabulary_counts(spark):
+    fitted = topics.fit_vocabulary(
+        titles(spark, "Deep learning with Python", "python, python rules", None, "  ")
+    )
+    assert rows(fitted, "term", "tf", "df", "n") == [
+        ("deep", 1, 1, 4), ("learning", 1, 1, 4), ("python", 3, 2, 4), ("rules", 1, 1, 4),
+    ]
+    idf = {row.term: row.idf for row in fitted.collect()}
+    assert idf["python"] == pytest.approx(math.log(5 / 3) + 1)
+    assert idf["deep"] == pytest.approx(math.log(5 / 2) + 1)
+
+
+def test_vocabulary_is_capped_by_frequency_then_term(spark):
+    fitted = topics.fit_vocabulary(titles(spark, "bb bb aa aa cc dd"), max_features=3)
+    assert [row.term for row in fitted.collect()] == ["aa", "bb", "cc"]
+
+
+def test_top_terms(spark):
+    df = topics.top_terms(
+        titles(spark, "Machine learning in Python", "Deep learning with Python", "Python tips and tricks")
+    )
+    found = {row.id: row.dominant_topics for row in df.collect()}
+    assert found == {0: "machine,learning,python", 1: "deep,learning,python", 2: "tricks,tips,python"}
+
+
+def test_top_n_and_repeats(spark):
+    df = topics.top_terms(titles(spark, "alpha alpha beta gamma delta", "beta"), top_n=2)
+    # two of alpha weigh most; gamma and delta are equal, so reverse order decides
+    assert rows(df, "id", "dominant_topics") == [(0, "alpha,gamma"), (1, "beta")]
+
+
+def test_no_terms(spark):
+    df = topics.top_terms(titles(spark, "", None, "   ", "the of and"))
+    assert [row.dominant_topics for row in df.collect()] == [None] * 4
+    assert df.schema["dominant_topics"].dataType.simpleString() == "string"
+    some = topics.top_terms(titles(spark, "rust compiler", None))
+    assert rows(some, "id", "dominant_topics") == [(0, "rust,compiler"), (1, None)]
+
+
+def test_stop_words_are_a_parameter(spark):
+    df = topics.top_terms(titles(spark, "foo the bar"), stop_words=["foo"])
+    assert rows(df, "dominant_topics") == [("the,bar",)]
+    df = topics.top_terms(titles(spark, "foo the bar"), stop_words=[])
+    assert rows(df, "dominant_topics") == [("the,foo,bar",)]
+
+
+def test_titles_are_not_shuffled_for_scoring(spark):
+    df = titles(spark, "alpha beta", "beta gamma")
+    vocabulary = topics.fit_vocabulary(df)
+    assert "Exchange" not in plan(topics.score_terms(df, vocabulary))
+
+
+def score(spark, text, lexicon=None, rules=None):
+    df = spark.createDataFrame([(text,)], "text string")
+    return add_sentiment(df, "text", lexicon, rules).first()
+
+
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        ("This is absolutely amazing and wonderful! I love it so much!", "positive"),
+        ("This is terrible, awful, disgusting and horrible.", "negative"),
+        ("The repository link is on GitHub.", "neutral"),
+        ("<p>This is <b>absolutely wonderful</b> and amazing!</p>", "positive"),
+    ],
+)
+def test_labels(spark, text, label):
+    assert score(spark, text).sentiment_label == label
+
+
+@pytest.mark.parametrize("text", [None, "", "   ", "<br>"])
+def test_blank_is_neutral(spark, text):
+    assert tuple(score(spark, text))[1:] == (0.0, "neutral")
+
+
+def squeezed(total):
+    return round(total / math.sqrt(total * total + 15), 4)
+
+
+LEXICON = {"good": 2.0, "bad": -2.0, "kind": 2.0, "no": -1.0}
+
+
+# Totals worked out by hand from the published rules.
+@pytest.mark.parametrize(
+    "text, total",
+    [
+        ("good", 2.0),
+        ("good, good", 4.0),
+        ("very good", 2 + 0.293),
+        ("very very good", 2 + 0.293 + 0.293 * 0.95),
+        ("very x x good", 2 + 0.293 * 0.9),
+        ("slightly bad", -2 + 0.293),
+        ("very bad", -2 - 0.293),
+        ("not good", 2 * -0.74),
+        ("not very good", (2 + 0.293) * -0.74),
+        ("isn't x x good", 2 * -0.74),
+        ("not x x x good", 2.0),
+        ("never so good", (2 + 0.293) * 1.25),
+        ("never x so good", (2 + 0.293) * 1.25),
+        ("without doubt good", 2.0),
+        ("without x good", 2 * -0.74),
+        ("good but bad", 2 * 0.5 - 2 * 1.5),
+        ("good but x but bad", 2 * 0.5 - 2 * 1.5),
+        ("it is GOOD", 2 + 0.733),
+        ("IT IS GOOD", 2.0),
+        ("it is BAD", -2 - 0.733),
+        ("it is VERY good", 2 + 0.293 + 0.733),
+        ("kind of good", 2.0),
+        ("kind good", 4.0),
+        ("no good", 0 + 2 * -0.74),
+        ("no way", -1.0),
+        ("least good", 2 * -0.74),
+        ("at least good", 2.0),
+        ("good!", 2 + 0.292),
+        ("good!!!!!!", 2 + 4 * 0.292),
+        ("bad!", -2 - 0.292),
+        ("good?", 2.0),
+        ("good??", 2 + 0.36),
+        ("good????", 2 + 0.96),
+        ("x!!!", 0.0),
+    ],
+)
+def test_rules(spark, text, total):
+    assert score(spark, text, LEXICON).sentiment_score == pytest.approx(squeezed(total), abs=1e-9)
+
+
+def test_rule_words_are_parameters(spark):
+    rules = SentimentRules(degrees={"sehr": 0.5}, negations=["nicht"], contrast="aber")
+    got = score(spark, "nicht sehr gut aber gut", {"gut": 2.0}, rules).sentiment_score
+    assert got == pytest.approx(squeezed((2 + 0.5) * -0.74 * 0.5 + (2 + 0.5 * 0.9) * 1.5), abs=1e-9)
+
+
+def test_long_text_is_scored_whole(spark):
+    text = "word " * 20000 + "good"
+    assert score(spark, text, LEXICON).sentiment_score == squeezed(2.0)
+
+
+def test_filtering_on_the_label_gives_the_same_rows(spark):
+    df = add_sentiment(
+        spark.createDataFrame([(1, "good"), (2, "bad"), (3, None)], "id int, text string"), lexicon=LEXICON
+    )
+    assert rows(df.where("sentiment_label = 'negative'"), "id") == [(2,)]
+    assert rows(sentiment.label_histogram(df)) == [("negative", 1), ("neutral", 1), ("positive", 1)]
+
+
+def test_lexicon_sum(spark):
+    df = spark.createDataFrame([("Good good, BAD words",), (None,)], "t string")
+    assert [r[0] for r in df.select(sentiment.lexicon_sum(F.col("t"), LEXICON)).collect()] == [2.0, 0.0]

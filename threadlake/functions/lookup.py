@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 MAX_TABLE_WORDS = 200_000
 
 
-def literal_lookup(table: Mapping[str, float]) -> Callable[[Column], Column]:
+def literal_lookup(
+    table: Mapping[str, object], kind: str = "double"
+) -> Callable[[Column], Column]:
     """A function that maps a word column to the word's value, or null.
 
     The table is one constant of the plan: an array of small maps, picked by
@@ -24,10 +26,10 @@ def literal_lookup(table: Mapping[str, float]) -> Callable[[Column], Column]:
     if len(table) > MAX_TABLE_WORDS:
         raise ValueError(f"word table of {len(table)} entries; at most {MAX_TABLE_WORDS}")
     count = max(1, len(table) // 4)
-    buckets: list[dict[str, float]] = [{} for _ in range(count)]
+    buckets: list[dict[str, object]] = [{} for _ in range(count)]
     for word, value in table.items():
-        buckets[zlib.crc32(word.encode("utf-8")) % count][word] = float(value)
-    constant = F.from_json(F.lit(json.dumps(buckets)), "array<map<string,double>>")
+        buckets[zlib.crc32(word.encode("utf-8")) % count][word] = value
+    constant = F.from_json(F.lit(json.dumps(buckets)), f"array<map<string,{kind}>>")
 
     def find(word: Column) -> Column:
         slot = (F.crc32(word.cast("binary")) % F.lit(count) + F.lit(1)).cast("int")

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import html
-from functools import reduce
+import html.entities
+from functools import cache, reduce
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from threadlake.functions.lookup import let, literal_lookup
 
 # The entities that make up nearly all of them in user-written
 # HTML. "&amp;" stays last, so that "&amp;lt;" becomes "&lt;" and no more.
@@ -36,13 +37,65 @@ _WHITE_SPACE = (
 _WORD = r"[\p{L}\p{N}_]{2,}"
 
 
-def _entity_decoder():
-    # An inner function travels to the workers by value, so they need not have
-    # this package installed.
-    def decode(texts: pd.Series) -> pd.Series:
-        return texts.map(html.unescape, na_action="ignore")
+# A character reference: decimal, hexadecimal or a name of up to 32 characters.
+_REFERENCE = r"&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+_LAST_CODE_POINT = 0x10FFFF
+_REPLACEMENT = "\ufffd"
+
+
+@cache
+def _odd_code_points() -> dict[str, str]:
+    """Numbers that do not stand for their own character, with what they stand for."""
+    candidates = [*range(0xA0), *range(0xFDD0, 0xFDF0), 0xFEFF]
+    for plane in range(0, _LAST_CODE_POINT + 1, 0x10000):
+        candidates += [plane + 0xFFFE, plane + 0xFFFF]
+    return {str(number): html.unescape(f"&#{number};") for number in candidates}
+
+
+def _numbered(name: Column) -> Column:
+    """The character of ``#65;`` or ``#x41;``."""
+    digits = F.regexp_replace(name, "^#[xX]?0*|;$", "")
+    base = F.when(name.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10))
+    number = (
+        F.when(digits == "", 0)
+        .when(F.length(digits) > 7, _LAST_CODE_POINT + 1)
+        .otherwise(base.cast("int"))
+    )
+
+    def character(code: Column) -> Column:
+        outside = (code > _LAST_CODE_POINT) | code.between(0xD800, 0xDFFF)
+        own = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        odd = literal_lookup(_odd_code_points(), "string")(code.cast("string"))
+        return F.coalesce(odd, F.when(outside, _REPLACEMENT).otherwise(own))
+
+    return let(number, character)
 
-    return F.pandas_udf(decode, T.StringType())
+
+def _named(name: Column) -> Column:
+    """The characters of ``amp;``; failing that, of the longest known start."""
+    known = literal_lookup(html.entities.html5, "string")
+    lengths = F.when(F.length(name) > 2, F.sequence(F.length(name) - 1, F.lit(2), F.lit(-1)))
+    start = F.get(F.filter(lengths, lambda n: known(F.substring(name, 1, n)).isNotNull()), F.lit(0))
+
+    def split_at(length: Column) -> Column:
+        return F.concat(
+            known(F.substring(name, 1, length)), F.substring(name, length + 1, F.length(name))
+        )
+
+    return F.coalesce(known(name), let(start, split_at), F.concat(F.lit("&"), name))
+
+
+def _decode_all(text: Column) -> Column:
+    """Every reference of ``text`` in turn: cut the text at them and put it together again."""
+    pieces = F.split(text, _REFERENCE, -1)
+    names = F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(1))
+    decoded = F.transform(
+        names, lambda name: F.when(name.startswith("#"), _numbered(name)).otherwise(_named(name))
+    )
+    joined = F.zip_with(
+        pieces, decoded, lambda piece, part: F.concat(piece, F.coalesce(part, F.lit("")))
+    )
+    return F.array_join(joined, "")
 
 
 def strip_tags(text: Column) -> Column:
@@ -51,17 +104,19 @@ def strip_tags(text: Column) -> Column:
 
 
 def decode_entities(text: Column) -> Column:
-    """HTML character references decoded in one pass.
+    """HTML character references decoded in one pass, as ``html.unescape`` does.
 
-    The common ones are replaced inside the JVM. Only texts that may hold
-    another one are sent to Python, in Arrow batches; the rest travel as null.
+    The common ones are replaced outright; only a text that may hold another
+    one is cut up.
     """
-    has_any = F.contains(text, F.lit("&"))
-    native = reduce(
+    common = reduce(
         lambda done, pair: F.replace(done, F.lit(pair[0]), F.lit(pair[1])), _PLAIN_ENTITIES, text
     )
-    decoded = _entity_decoder()(F.when(has_any & text.rlike(_OTHER_ENTITY), text))
-    return F.coalesce(decoded, F.when(has_any, native).otherwise(text))
+    return (
+        F.when(~F.contains(text, F.lit("&")), text)
+        .when(text.rlike(_OTHER_ENTITY), _decode_all(text))
+        .otherwise(common)
+    )
 
 
 def squeeze_spaces(text: Column) -> Column:
