@@ -92,14 +92,17 @@ def sentiment_words(clean: Column) -> Column:
     """Blank-separated words; punctuation at the ends goes if over two letters stay."""
 
     def bare(word: Column) -> Column:
-        inner = F.btrim(word, F.lit(PUNCTUATION))
-        return F.when(F.length(inner) > 2, inner).otherwise(word)
+        return let(
+            F.btrim(word, F.lit(PUNCTUATION)),
+            lambda inner: F.when(F.length(inner) > 2, inner).otherwise(word),
+        )
 
     return F.transform(F.filter(F.split(clean, " "), lambda w: w != ""), bare)
 
 
-def _in_capitals(word: Column) -> Column:
-    return (word == F.upper(word)) & (word != F.lower(word))
+def _in_capitals(word: Column, low: Column) -> Column:
+    """``low`` is the word in lower case; comparing with it first spares most words the rest."""
+    return (word != low) & (word == F.upper(word))
 
 
 def valence_sum(
@@ -121,7 +124,7 @@ def valence_sum(
             return (at < 0) | F.get(valences, at).isNotNull()
 
         def loud(at: Column) -> Column:
-            return mixed & _in_capitals(F.get(shown, at))
+            return mixed & _in_capitals(F.get(shown, at), F.get(low, at))
 
         def negates(name: Column) -> Column:
             return name.isin(negations) | name.contains("n't")
@@ -207,13 +210,14 @@ def valence_sum(
         return F.aggregate(values, F.lit(0.0), lambda done, value: done + value)
 
     # Capitals mean something only where not every word has them.
-    def mixed_case(shown: Column) -> Column:
-        return F.exists(shown, _in_capitals) & F.exists(shown, lambda w: ~_in_capitals(w))
+    def mixed_case(shown: Column, low: Column) -> Column:
+        capitals = F.zip_with(shown, low, _in_capitals)
+        return let(capitals, lambda c: F.array_contains(c, True) & F.array_contains(c, False))
 
     return let(words, lambda shown: let(
         F.transform(shown, F.lower), lambda low: let(
             F.transform(low, valence_of), lambda valences: let(
-                mixed_case(shown), lambda mixed: let(
+                mixed_case(shown, low), lambda mixed: let(
                     F.array_position(low, rules.contrast),
                     lambda turn: total(shown, low, valences, mixed, turn),
                 )
