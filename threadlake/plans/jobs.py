@@ -14,8 +14,10 @@ from threadlake.operators import quality, tracking
 from threadlake.operators.conform import (
     COMMENT_KEYS,
     STORY_KEYS,
+    conform,
     conform_comments,
     conform_stories,
+    incomplete_counts,
 )
 from threadlake.operators.dedup import keep_last, merge_prefer
 from threadlake.operators.integrity import active_rows, key_set, new_ids, rows_in
@@ -25,6 +27,9 @@ from threadlake.operators.threads import MAX_DEPTH, expand_threads
 from threadlake.operators.topics import MAX_FEATURES, TOP_N, top_terms
 from threadlake.plans.reports import run_reports
 from threadlake.schemas import (
+    COMMENT,
+    OUTPUT_COMMENT,
+    OUTPUT_STORY,
     PARTITION_COLUMN,
     PROCESSED_COMMENT,
     PROCESSED_STORY,
@@ -32,14 +37,13 @@ from threadlake.schemas import (
     RAW_COMMENT,
     RAW_ITEM,
     RAW_STORY,
-    OUTPUT_COMMENT,
-    OUTPUT_STORY,
+    STORY,
 )
 from threadlake.session import rows_frame, stage
 from threadlake.sources.layout import Lake
 from threadlake.sources.readers import ARRIVAL, read_partition, read_window
 from threadlake.sources.state import load_state, save_state
-from threadlake.sources.writers import COMMENTS_PER_FILE, NothingToWrite, write_partition
+from threadlake.sources.writers import RECORDS_PER_FILE, NothingToWrite, write_partition
 
 ROW_KEY = ["id", PARTITION_COLUMN]
 
@@ -56,7 +60,7 @@ class JobConfig:
     tracking_days: int = tracking.TRACKING_DAYS
     recent_days: int = tracking.RECENT_DAYS
     max_depth: int = MAX_DEPTH
-    max_records_per_file: int | None = COMMENTS_PER_FILE
+    max_records_per_file: int | None = RECORDS_PER_FILE
     bad_input: str = "row"
     cascade_orphans: bool = False
 
@@ -203,8 +207,8 @@ def process_day(
         comments, comment_count = unique_comments, unique_count
 
     stats = {
-        **_input_stats("stories", raw_stories, all_stories, story_count, STORY_KEYS),
-        **_input_stats("comments", raw_comments, all_comments, unique_count, COMMENT_KEYS),
+        **_input_stats("stories", raw_stories, STORY, STORY_KEYS, story_count),
+        **_input_stats("comments", raw_comments, COMMENT, COMMENT_KEYS, unique_count),
         "stories_processed": story_count,
         "comments_processed": comment_count,
         "comments_orphaned": unique_count - comment_count,
@@ -250,14 +254,19 @@ def _drop_orphans(
 
 
 def _input_stats(
-    entity: str, raw: DataFrame, conformed: DataFrame, unique: int, keys: list[str]
+    entity: str, raw: DataFrame, schema: T.StructType, keys: list[str], unique: int
 ) -> dict[str, int]:
-    rows = raw.select(*keys).agg(F.count(F.lit(1))).first()[0]
-    usable = conformed.select(*keys).agg(F.count(F.lit(1))).first()[0]
+    """Counts of what came in: one narrow pass over the raw files.
+
+    Counting inside the first job instead would count rows twice where a lost
+    executor makes Spark run a shuffle stage again.
+    """
+    key_schema = T.StructType([schema[key] for key in keys])
+    counts = incomplete_counts(conform(raw, key_schema), keys).first()
     return {
-        f"{entity}_raw": rows,
-        f"{entity}_dropped": rows - usable,
-        f"{entity}_duplicates_removed": usable - unique,
+        f"{entity}_raw": counts["rows"],
+        f"{entity}_dropped": counts["dropped"],
+        f"{entity}_duplicates_removed": counts["rows"] - counts["dropped"] - unique,
     }
 
 

@@ -13,7 +13,9 @@ from threadlake.schemas import MANIFEST, PARTITION_COLUMN
 from threadlake.session import rows_frame
 from threadlake.sources.layout import FORMATS, LAYERS, Lake, require
 
-COMMENTS_PER_FILE = 1000  # fixed value: the landing batch
+# Landing files are bounded. A thousand comments, as a single-machine landing
+# takes, would leave a large table in far too many files.
+RECORDS_PER_FILE = 1_000_000
 
 
 class NothingToWrite(ValueError):
