@@ -30,7 +30,7 @@ def small_joins(spark):
 
 def final_plan(df):
     df.collect()
-    return plan(df)
+    return plan(df).split("== Initial Plan ==")[0]
 
 
 def hot_comments(spark, rows_=60_000):
@@ -41,25 +41,53 @@ def hot_comments(spark, rows_=60_000):
     )
 
 
-def test_hot_parent_is_split_over_tasks(spark, small_joins):
+def ids(spark, comments, most):
+    """Keys as they come from whole tables: aggregated over a shuffle."""
+    return integrity.key_set(
+        spark.range(0, most).select("id"), comments.where("false").select("id")
+    )
+
+
+@pytest.mark.parametrize("most", [4000, 1000, 0])
+@pytest.mark.parametrize(
+    "operator",
+    [
+        integrity.rows_in, integrity.rows_not_in, integrity.rows_with_key,
+        integrity.rows_without_key, lambda df, column, keys: integrity.flag_known_parents(df, keys),
+    ],
+)
+def test_hot_parent_is_split_over_tasks(spark, small_joins, operator, most):
+    """``most`` decides which of the lists is the shorter one."""
     comments = hot_comments(spark)
-    keys = integrity.key_set(spark.range(0, 4000))
-    for df in (
-        integrity.rows_in(comments, "parent", keys),
-        integrity.rows_not_in(comments, "parent", keys),
-        integrity.flag_known_parents(comments, keys),
-    ):
-        assert "skew=true" in final_plan(df)
-
-
-def test_hot_parent_gives_whole_results(spark, small_joins):
-    comments = hot_comments(spark, 30_000)
-    keys = integrity.key_set(spark.range(0, 4000))
-    valid, orphans = integrity.rows_in(comments, "parent", keys), integrity.rows_not_in(comments, "parent", keys)
-    assert valid.count() == comments.where("parent < 4000").count()
-    assert valid.count() + orphans.count() == 30_000
+    df = operator(comments, "parent", ids(spark, comments, most))
+    text = final_plan(df)
+    assert "skew=true" in text or "SortMergeJoin" not in text
+
+
+def test_few_missing_parents_spare_the_rows_a_shuffle(spark):
+    comments = hot_comments(spark)
+    keys = ids(spark, comments, 4990)
+    for df in integrity.split_orphans(keys, comments, keys):
+        text = final_plan(df)
+        assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+
+
+@pytest.mark.parametrize("most", [0, 7, 8, 4000, 6000])
+def test_hot_parent_gives_whole_results(spark, small_joins, most):
+    comments = hot_comments(spark, 30_000).withColumn(
+        "parent", F.when(F.col("id") % 11 != 0, F.col("parent"))
+    )
+    keys = ids(spark, comments, most)
+    expected = comments.where(F.col("parent") < most).count()
+    valid, orphans = integrity.split_orphans(keys, comments, keys)
+    assert valid.count() == expected
+    assert orphans.count() == 30_000 - expected
+    assert integrity.rows_in(comments, "parent", keys).count() == expected
+    assert integrity.rows_not_in(comments, "parent", keys).count() == 30_000 - expected
+    flagged = integrity.flag_known_parents(comments, keys)
+    assert flagged.where("has_parent").count() == expected and flagged.count() == 30_000
     counts = integrity.count_unmatched(comments, "parent", keys, "id").first()
-    assert counts.unmatched == orphans.count()
+    assert counts.unmatched == 30_000 - expected
 
 
 def test_counting_meets_each_key_once(spark, small_joins):

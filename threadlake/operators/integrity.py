@@ -1,17 +1,29 @@
 """Key membership: which rows refer to a key that exists.
 
-Each key set is made distinct first, with a map-side combine, so it holds
-every key once however often it occurs. The rows themselves may be skewed (one
-parent with a third of all replies): they are the streamed side of an
-equi-join, which adaptive execution splits into several tasks over the same
-key rows when a shuffle partition grows too large.
+Rows may be skewed: one parent may have a third of all replies. Two ways are
+used, and neither brings the rows of a hot key to one task.
+
+- Against a list of keys (``rows_in``, ``rows_not_in``): the list is made distinct
+  and staged. Spark then knows its size, and broadcasts it or shuffles both sides;
+  in a shuffle, adaptive execution splits the rows of a hot key over tasks. (It
+  would not if the distinct list were joined as it comes from its aggregation.)
+- Against the keys of whole tables (``split_orphans``, ``flag_known_parents``,
+  ``rows_with_key``, ``rows_without_key``): membership is decided on the distinct
+  keys of both sides, each of which a map-side combine leaves once. The rows only
+  meet the shorter of the two lists that result. Usually few parents are missing,
+  so the rows are not shuffled at all.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from threadlake.session import shared_folder, stage
+
 _KEY = "_threadlake_key"
 _KNOWN = "_threadlake_known"
 
@@ -31,14 +43,14 @@ def _renamed(keys: DataFrame) -> DataFrame:
 
 def rows_in(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """Rows whose ``column`` is one of ``keys`` (a one-column frame)."""
-    other = _renamed(keys)
-    return df.join(other, df[column] == other[_KEY], "left_semi")
+    listed, _ = stage(_renamed(keys).distinct(), "keys")
+    return df.join(listed, df[column] == listed[_KEY], "left_semi")
 
 
 def rows_not_in(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
     """Rows whose ``column`` is none of ``keys``; a null counts as absent."""
-    other = _renamed(keys)
-    return df.join(other, df[column] == other[_KEY], "left_anti")
+    listed, _ = stage(_renamed(keys).distinct(), "keys")
+    return df.join(listed, df[column] == listed[_KEY], "left_anti")
 
 
 def active_rows(df: DataFrame, active_ids: DataFrame, column: str = "id") -> DataFrame:
@@ -49,24 +61,96 @@ def active_rows(df: DataFrame, active_ids: DataFrame, column: str = "id") -> Dat
 def new_ids(candidates: DataFrame, known: DataFrame) -> DataFrame:
     """Distinct candidate ids that are not known yet."""
     (column,) = candidates.columns
-    return rows_not_in(key_set(candidates, key=column), column, known)
+    ids, other = key_set(candidates, key=column), _renamed(known)
+    return ids.join(other, ids[column] == other[_KEY], "left_anti")
 
 
-def flag_known_parents(
-    comments: DataFrame, keys: DataFrame, parent: str = "parent", flag: str = "has_parent"
-) -> DataFrame:
-    """``comments`` with a flag telling whether the parent is among ``keys``.
+@dataclass(frozen=True)
+class Membership:
+    """The distinct keys of some rows, parted by whether they exist."""
 
-    One join serves both halves of a split. ``keys`` must be distinct.
-    """
-    other = _renamed(keys).withColumn(_KNOWN, F.lit(True))
+    known: DataFrame
+    unknown: DataFrame
+    known_count: int
+    unknown_count: int
+
+
+def membership(df: DataFrame, column: str, keys: DataFrame) -> Membership:
+    """Look up each distinct non-null key of ``df`` once. Written to the shared folder."""
+    spark = df.sparkSession
+    wanted = _renamed(key_set(df, key=column))
+    existing = keys.select(F.col(keys.columns[0]).alias("_existing")).distinct()
+    parted = wanted.join(existing, F.col(_KEY) == F.col("_existing"), "left").select(
+        _KEY, F.col("_existing").isNotNull().alias(_KNOWN)
+    )
+    seen = Observation(f"membership-{uuid.uuid4().hex}")
+    path = f"{shared_folder(spark)}/staged/membership-{uuid.uuid4().hex}"
+    parted.observe(
+        seen,
+        F.count_if(_KNOWN).alias("known"),
+        F.count_if(~F.col(_KNOWN)).alias("unknown"),
+    ).write.partitionBy(_KNOWN).parquet(path)
+    counts = seen.get
+
+    def part(flag: str, count: int) -> DataFrame:
+        # A folder of its own, so that Spark knows the size of this part alone.
+        if not count:
+            return spark.createDataFrame([], wanted.schema)
+        return spark.read.schema(wanted.schema).parquet(f"{path}/{_KNOWN}={flag}")
+
+    return Membership(
+        part("true", counts["known"]),
+        part("false", counts["unknown"]),
+        counts["known"],
+        counts["unknown"],
+    )
+
+
+def _with_key(df: DataFrame, column: str, found: Membership) -> DataFrame:
+    if found.unknown_count <= found.known_count:
+        present = df.where(F.col(column).isNotNull())
+        return present.join(found.unknown, F.col(column) == F.col(_KEY), "left_anti")
+    return df.join(found.known, F.col(column) == F.col(_KEY), "left_semi")
+
+
+def _flagged(df: DataFrame, column: str, found: Membership, flag: str) -> DataFrame:
+    shorter_is_unknown = found.unknown_count <= found.known_count
+    listed = (found.unknown if shorter_is_unknown else found.known).withColumn(
+        _KNOWN, F.lit(True)
+    )
+    on_list = F.coalesce(F.col(_KNOWN), F.lit(False))
+    known = ~on_list & F.col(column).isNotNull() if shorter_is_unknown else on_list
     return (
-        comments.join(other, comments[parent] == other[_KEY], "left")
-        .withColumn(flag, F.coalesce(F.col(_KNOWN), F.lit(False)))
+        df.join(listed, F.col(column) == F.col(_KEY), "left")
+        .withColumn(flag, known)
         .drop(_KEY, _KNOWN)
     )
 
 
+def _without_key(df: DataFrame, column: str, found: Membership) -> DataFrame:
+    if found.unknown_count <= found.known_count:
+        flag = "_threadlake_has_key"
+        return _flagged(df, column, found, flag).where(~F.col(flag)).drop(flag)
+    return df.join(found.known, F.col(column) == F.col(_KEY), "left_anti")
+
+
+def rows_with_key(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """Rows whose ``column`` is among the keys of a whole table."""
+    return _with_key(df, column, membership(df, column, keys))
+
+
+def rows_without_key(df: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """The other rows; a null counts as absent."""
+    return _without_key(df, column, membership(df, column, keys))
+
+
+def flag_known_parents(
+    comments: DataFrame, keys: DataFrame, parent: str = "parent", flag: str = "has_parent"
+) -> DataFrame:
+    """``comments`` with a flag telling whether the parent is among ``keys``."""
+    return _flagged(comments, parent, membership(comments, parent, keys), flag)
+
+
 def split_orphans(
     stories: DataFrame, comments: DataFrame, comment_ids: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
@@ -76,7 +160,8 @@ def split_orphans(
     stays. ``comment_ids`` may give them from a cheaper source.
     """
     keys = key_set(stories.select("id"), (comment_ids or comments).select("id"))
-    return rows_in(comments, "parent", keys), rows_not_in(comments, "parent", keys)
+    found = membership(comments, "parent", keys)
+    return _with_key(comments, "parent", found), _without_key(comments, "parent", found)
 
 
 def count_unmatched(

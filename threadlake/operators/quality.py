@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from threadlake.functions.casts import lenient_double
-from threadlake.operators.integrity import count_unmatched, key_set, rows_not_in
+from threadlake.operators.integrity import count_unmatched, key_set, rows_without_key
 from threadlake.schemas import CHECK_RESULT, QUALITY_REPORT
-from threadlake.session import rows_frame
+from threadlake.session import rows_frame, stage
 
 CRITICAL, WARNING = "critical", "warning"
 SAMPLE_SIZE = 10  # fixed value
@@ -122,6 +122,8 @@ class Unique:
             copies = F.least(F.col("_n"), F.lit(size)).cast("int")
             top = repeated.where("id is not null").orderBy("id").limit(size)
             return _first_ids(top.select("id", F.explode(F.array_repeat(F.lit(1), copies))), size)
+        # Staged, so that the rows of a much repeated key can be split over tasks.
+        repeated, _ = stage(repeated.select(*self.columns), "repeated")
         match = [df[column].eqNullSafe(repeated[column]) for column in self.columns]
         return _first_ids(df.join(repeated, match, "left_semi"), size)
 
@@ -196,7 +198,7 @@ class RefersTo:
 
     def samples(self, df, size):
         keys = key_set(self.parent, key=self.parent_key)
-        return _first_ids(rows_not_in(df, self.child_key, keys), size)
+        return _first_ids(rows_without_key(df, self.child_key, keys), size)
 
     def details(self, measured):
         known = {"child_key": self.child_key, "parent_key": self.parent_key}

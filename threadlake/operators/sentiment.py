@@ -89,15 +89,25 @@ PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def sentiment_words(clean: Column) -> Column:
-    """Blank-separated words; punctuation at the ends goes if over two letters stay."""
+    """Words of a text with single blanks; punctuation at the ends goes if over two letters stay.
 
-    def bare(word: Column) -> Column:
+    Trimming is the dearest step per word, so the end letters are looked at first.
+    """
+    marks = F.lit(PUNCTUATION)
+
+    def stripped(word: Column) -> Column:
         return let(
-            F.btrim(word, F.lit(PUNCTUATION)),
+            F.btrim(word, marks),
             lambda inner: F.when(F.length(inner) > 2, inner).otherwise(word),
         )
 
-    return F.transform(F.filter(F.split(clean, " "), lambda w: w != ""), bare)
+    def bare(word: Column) -> Column:
+        marked = F.contains(marks, F.substring(word, -1, 1)) | F.contains(
+            marks, F.substring(word, 1, 1)
+        )
+        return F.when(marked, stripped(word)).otherwise(word)
+
+    return F.transform(F.split(clean, " "), bare)
 
 
 def _in_capitals(word: Column, low: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadlake.operators.dedup import keep_last
+from threadlake.operators.integrity import key_set
 from threadlake.session import stage, stage_bucketed
 
 MAX_DEPTH = 10  # fixed value
@@ -31,9 +32,11 @@ def expand_threads(
     A comment reached twice is returned twice, and a cycle is followed until
     the depth limit, unless ``once_per_root`` keeps the first path only.
 
-    Each level is one join of the ids found so far with the comments' ``kids``.
-    These are bucketed by id once, so a level shuffles only its own ids; each
-    level is written to the shared folder, and the first empty one ends it.
+    The comments' ``kids`` are bucketed by id once, so a level shuffles only its
+    own ids. It looks each distinct id up once, so that a reply listed by very
+    many parents is one row there; the rows then meet what was found, which Spark
+    broadcasts or splits by its size. Each level is written to the shared folder,
+    and the first empty one ends it.
     """
     spark = roots.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -54,15 +57,21 @@ def expand_threads(
     frontier = children(roots, "id", F.array().cast("array<int>"), 0)
     try:
         for depth in range(max_depth):
-            found = frontier.join(links, F.col("_child") == links["id"]).select(
-                "root_id", links["id"], "depth", "path", "kids"
+            wanted = key_set(frontier, key="_child")
+            hits, any_hit = stage(
+                links.join(wanted, links["id"] == wanted["_child"], "left_semi"), f"hits{depth}"
+            )
+            if not any_hit:
+                break
+            found = frontier.join(hits, F.col("_child") == hits["id"]).select(
+                "root_id", hits["id"], "depth", "path", "kids"
             )
             if once_per_root:
                 found = keep_last(found, ["root_id", "id"], [_reversed_order("path")])
                 for level in levels:
                     found = found.join(level.select("root_id", "id"), ["root_id", "id"], "left_anti")
             level, rows = stage(found, f"level{depth}")
-            if not rows:
+            if not rows:  # all of them met before
                 break
             levels.append(level.select("root_id", "id", "depth", "path"))
             frontier = children(level, "root_id", F.col("path"), depth + 1)

@@ -142,15 +142,13 @@ def discover(
     """
     if ranked.isEmpty():
         raise RuntimeError("the ranking is empty; the source gave no ids")
-    top = (
-        ranked.where(F.col("rank") <= max_stories)
-        .orderBy("rank", "id")
-        .limit(max_stories)
-        .select(F.col("id").alias("_id"))
-        .distinct()
-    )
+    top = ranked.where(F.col("rank") <= max_stories)
+    wanted = F.col("id").alias("_id")
     if max_stories <= _SMALL_RANKING:
-        top = F.broadcast(top)  # at most max_stories ids, by the limit above
+        # At most max_stories ids, whatever the ranking holds.
+        top = F.broadcast(top.orderBy("rank", "id").limit(max_stories).select(wanted))
+    else:
+        top = top.select(wanted)
     since = F.unix_timestamp(F.to_timestamp(F.lit(as_of))) - recent_days * 86400
     return items.where(
         (F.col("type") == "story") & (epoch_seconds(items, "time") >= since)

@@ -20,7 +20,7 @@ from threadlake.operators.conform import (
     incomplete_counts,
 )
 from threadlake.operators.dedup import keep_last, merge_prefer
-from threadlake.operators.integrity import active_rows, key_set, new_ids, rows_in
+from threadlake.operators.integrity import active_rows, key_set, new_ids, rows_with_key
 from threadlake.operators.sentiment import SentimentRules, add_sentiment
 from threadlake.operators.temporal import HISTORY_COLUMNS, engagement_metrics
 from threadlake.operators.threads import MAX_DEPTH, expand_threads
@@ -242,14 +242,14 @@ def _drop_orphans(
     story_ids = stories.select("id")
     if not cascade:
         keys = key_set(story_ids, comments.select("id"))
-        return stage(rows_in(comments, "parent", keys), "with-parent")
+        return stage(rows_with_key(comments, "parent", keys), "with-parent")
     links, left = comments.select("id", "parent"), count
     while True:
         links, kept = stage(
-            rows_in(links, "parent", key_set(story_ids, links.select("id"))), "links"
+            rows_with_key(links, "parent", key_set(story_ids, links.select("id"))), "links"
         )
         if kept == left:
-            return stage(rows_in(comments, "id", key_set(links)), "with-ancestors")
+            return stage(rows_with_key(comments, "id", key_set(links)), "with-ancestors")
         left = kept
 
 

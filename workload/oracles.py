@@ -368,6 +368,12 @@ ORACLES = {
     "orphan_rows": """
         SELECT doc_id, lang, source, n_chars FROM documents
         WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+    "rows_not_listed": """
+        SELECT doc_id, lang, source, n_chars FROM documents
+        WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+    "rows_with_parent": """
+        SELECT conv_id, turn, role FROM conversations
+        WHERE conv_id IN (SELECT doc_id FROM labels)""",
     "active_rows": """
         SELECT doc_id, lang, source, n_chars FROM documents
         WHERE doc_id IN (SELECT doc_id FROM labels)""",

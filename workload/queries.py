@@ -150,7 +150,7 @@ def split_orphans_dropped(spark, sf_dir):
 @query
 def orphan_rows(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    return integrity.rows_not_in(documents, "doc_id", views.labelled_ids(spark, sf_dir))
+    return integrity.rows_without_key(documents, "doc_id", views.labelled_ids(spark, sf_dir))
 
 
 @query
@@ -159,6 +159,18 @@ def active_rows(spark, sf_dir):
     return integrity.active_rows(documents, views.labelled_ids(spark, sf_dir), "doc_id")
 
 
+@query
+def rows_not_listed(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    return integrity.rows_not_in(documents, "doc_id", views.labelled_ids(spark, sf_dir))
+
+
+@query
+def rows_with_parent(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    return integrity.rows_with_key(turns, "conv_id", views.labelled_ids(spark, sf_dir))
+
+
 @query
 def new_ids(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").select("conv_id")
