@@ -138,6 +138,18 @@ def test_reply_to_an_orphan_blocks_the_day_unless_cascading(spark, lake):
     assert stats["comments_orphaned"] == 2
 
 
+def test_cascade_follows_chains_but_not_story_ids(spark, lake):
+    land(lake, "stories", DAY, [story(100), story(202)])
+    chain = [comment(301, 202), comment(202, 888), comment(400, 999), comment(401, 400), comment(402, 401)]
+    circle = [comment(500, 501), comment(501, 500)]
+    land(lake, "comments", DAY, [*chain, *circle, comment(201, 100)])
+    stats = jobs.process_day(spark, lake, DAY, jobs.JobConfig(cascade_orphans=True))
+    saved = read_table(spark, lake, "processed", "comments", PROCESSED_COMMENT, DAY)
+    # 301 answers the story 202, not the dropped comment of that id
+    assert rows(saved, "id") == [(201,), (301,), (500,), (501,)]
+    assert stats["comments_orphaned"] == 4
+
+
 def test_without_stories_the_orphan_filter_is_skipped(spark, lake):
     land(lake, "comments", DAY, [comment(201, 202), comment(202, 201)])
     stats = jobs.process_day(spark, lake, DAY)

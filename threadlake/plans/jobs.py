@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,13 @@ from threadlake.operators.conform import (
     incomplete_counts,
 )
 from threadlake.operators.dedup import keep_last, merge_prefer
-from threadlake.operators.integrity import active_rows, key_set, new_ids, rows_with_key
+from threadlake.operators.integrity import (
+    active_rows,
+    key_set,
+    new_ids,
+    rows_with_key,
+    rows_without_key,
+)
 from threadlake.operators.sentiment import SentimentRules, add_sentiment
 from threadlake.operators.temporal import HISTORY_COLUMNS, engagement_metrics
 from threadlake.operators.threads import MAX_DEPTH, expand_threads
@@ -201,7 +208,7 @@ def process_day(
     )
     if story_count:
         comments, comment_count = _drop_orphans(
-            stories, unique_comments, unique_count, config.cascade_orphans
+            stories, unique_comments, config.cascade_orphans
         )
     else:
         comments, comment_count = unique_comments, unique_count
@@ -232,25 +239,28 @@ def process_day(
 
 
 def _drop_orphans(
-    stories: DataFrame, comments: DataFrame, count: int, cascade: bool
+    stories: DataFrame, comments: DataFrame, cascade: bool
 ) -> tuple[DataFrame, int]:
     """Comments with a known parent; with ``cascade``, also none below a dropped one.
 
-    A cascade works on ids and parents only, one round per level of dropped
-    replies, and takes the rows themselves at the end.
+    A cascade follows the dropped ids down, one round per level, on ids and
+    parents only. The rows themselves are taken once, at the end.
     """
-    story_ids = stories.select("id")
+    keys = key_set(stories.select("id"), comments.select("id"))
     if not cascade:
-        keys = key_set(story_ids, comments.select("id"))
         return stage(rows_with_key(comments, "parent", keys), "with-parent")
-    links, left = comments.select("id", "parent"), count
-    while True:
-        links, kept = stage(
-            rows_with_key(links, "parent", key_set(story_ids, links.select("id"))), "links"
+    links = comments.select("id", "parent")
+    lost, count = stage(rows_without_key(links, "parent", keys).select("id"), "orphans")
+    dropped = [lost]
+    while count:
+        # An id that is also a story's still stands for the story.
+        parents = lost.join(stories.select("id"), "id", "left_anti").select(
+            F.col("id").alias("_lost")
         )
-        if kept == left:
-            return stage(rows_with_key(comments, "id", key_set(links)), "with-ancestors")
-        left = kept
+        below = links.join(parents, F.col("parent") == F.col("_lost"), "left_semi")
+        lost, count = stage(below.select("id"), "below-orphans")
+        dropped.append(lost)
+    return stage(comments.join(reduce(DataFrame.union, dropped), "id", "left_anti"), "with-ancestors")
 
 
 def _input_stats(
