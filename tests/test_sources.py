@@ -212,3 +212,11 @@ def test_bucketed_staging_saves_the_shuffle(spark):
         spark.sql(f"DROP TABLE {table}")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_spread_shuffles_only_what_has_few_splits(spark, lake):
+    few = numbers(spark, *range(50)).coalesce(1)
+    assert readers.spread(few).rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
+    assert readers.spread(few).count() == 50
+    many = few.repartition(20)
+    assert readers.spread(many) is many

@@ -161,6 +161,17 @@ def read_table(
     return _load(spark, lake, layer, entity, dates, schema, "parquet", [])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, as read from files, over at least as many tasks as there are cores.
+
+    A row group is the least a task can read, so a few large ones leave most
+    cores idle in work that is dear per row, as on texts. A table of many files
+    has more splits than cores and is left as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() > cores else df.repartition(2 * cores)
+
+
 def register_views(
     spark: SparkSession, lake: Lake, layer: str, schemas: dict[str, T.StructType], date: str | None = None
 ) -> None:

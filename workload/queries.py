@@ -16,9 +16,9 @@ from threadlake.operators.temporal import engagement_metrics
 from threadlake.operators.threads import expand_threads
 from threadlake.plans import jobs, reports
 from threadlake.schemas import OUTPUT_COMMENT, PROCESSED_COMMENT
-from threadlake.session import apply_runtime_conf, shared_folder
+from threadlake.session import apply_runtime_conf, shared_folder, stage
 from threadlake.sources.layout import Lake
-from threadlake.sources.readers import days_before, read_table
+from threadlake.sources.readers import days_before, read_table, spread
 from threadlake.sources.writers import write_partition
 from workload import views
 from workload.views import TARGET_DATE, WINDOW_DAYS, table
@@ -373,7 +373,7 @@ def incomplete_counts_of_comments(spark, sf_dir):
 
 @query
 def clean_pages(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select(
+    return spread(table(spark, sf_dir, "pages").select("page_id", "html")).select(
         "page_id", clean_html(F.col("html")).alias("clean")
     )
 
@@ -381,14 +381,14 @@ def clean_pages(spark, sf_dir):
 @query
 def vocabulary(spark, sf_dir):
     fitted = topics.fit_vocabulary(
-        table(spark, sf_dir, "documents"), "text", views.STOP_WORDS, max_features=100
+        spread(table(spark, sf_dir, "documents").select("text")), "text", views.STOP_WORDS, max_features=100
     )
     return fitted.withColumn("idf", F.round("idf", 9))
 
 
 @query
 def top_terms(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return topics.top_terms(documents, "text", stop_words=views.STOP_WORDS).select(
         "doc_id", "dominant_topics"
     )
@@ -396,7 +396,7 @@ def top_terms(spark, sf_dir):
 
 @query
 def lexicon_sums(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", sentiment.lexicon_sum(F.col("text"), views.LEXICON).alias("valence")
     )
 
@@ -404,21 +404,24 @@ def lexicon_sums(spark, sf_dir):
 @query
 def sentiment_of_replies(spark, sf_dir):
     return sentiment.add_sentiment(
-        views.replies(spark, sf_dir), "text", views.LEXICON, RULES
+        spread(views.replies(spark, sf_dir).select("id", "text")), "text", views.LEXICON, RULES
     ).select("id", "sentiment_score", "sentiment_label")
 
 
 @query
 def sentiment_of_documents(spark, sf_dir):
     return sentiment.add_sentiment(
-        table(spark, sf_dir, "documents"), "text", views.LEXICON, RULES
+        spread(table(spark, sf_dir, "documents").select("doc_id", "text")),
+        "text",
+        views.LEXICON,
+        RULES,
     ).select("doc_id", "sentiment_score", "sentiment_label")
 
 
 @query
 def sentiment_histogram(spark, sf_dir):
     scored = sentiment.add_sentiment(
-        views.replies(spark, sf_dir), "text", views.LEXICON, RULES
+        spread(views.replies(spark, sf_dir).select("id", "text")), "text", views.LEXICON, RULES
     )
     return sentiment.label_histogram(scored)
 
@@ -428,11 +431,16 @@ def sentiment_histogram(spark, sf_dir):
 
 def _enriched_stories(spark, sf_dir):
     """The target day's engagement, with the documents of the same ids as texts."""
-    documents = table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("id"), F.concat_ws(" ", "source", "lang").alias("title"), "text"
+    documents = spread(
+        table(spark, sf_dir, "documents").select(
+            F.col("doc_id").alias("id"), F.concat_ws(" ", "source", "lang").alias("title"), "text"
+        )
     )
-    stories = _engagement(spark, sf_dir).join(documents, "id")
-    return topics.top_terms(stories, "text", stop_words=views.STOP_WORDS)
+    # Staged as the daily job does it: terms are counted and scored over these
+    # rows, and reports read the finished ones.
+    stories, _ = stage(_engagement(spark, sf_dir).join(documents, "id"), "day-stories")
+    enriched = topics.top_terms(stories, "text", stop_words=views.STOP_WORDS)
+    return stage(enriched.drop("text"), "enriched")[0]
 
 
 @query
@@ -456,7 +464,9 @@ def report_sentiment(spark, sf_dir):
     stories = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"), F.concat_ws(" ", "source", "lang").alias("title")
     )
-    turns = views.replies(spark, sf_dir).select("id", "text", F.col("conv_id").alias("parent"))
+    turns = spread(
+        views.replies(spark, sf_dir).select("id", "text", F.col("conv_id").alias("parent"))
+    )
     comments = sentiment.add_sentiment(turns, "text", views.LEXICON, RULES)
     return reports.sentiment_by_story(stories, comments)
 
