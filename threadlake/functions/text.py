@@ -72,17 +72,17 @@ def _numbered(name: Column) -> Column:
 
 
 def _named(name: Column) -> Column:
-    """The characters of ``amp;``; failing that, of the longest known start."""
+    """The characters of ``amp;``, or of the longest start that is a name."""
     known = literal_lookup(html.entities.html5, "string")
-    lengths = F.when(F.length(name) > 2, F.sequence(F.length(name) - 1, F.lit(2), F.lit(-1)))
-    start = F.get(F.filter(lengths, lambda n: known(F.substring(name, 1, n)).isNotNull()), F.lit(0))
+    lengths = F.when(F.length(name) > 1, F.sequence(F.length(name), F.lit(2), F.lit(-1)))
+    longest = F.get(F.filter(lengths, lambda n: known(F.substring(name, 1, n)).isNotNull()), F.lit(0))
 
     def split_at(length: Column) -> Column:
         return F.concat(
             known(F.substring(name, 1, length)), F.substring(name, length + 1, F.length(name))
         )
 
-    return F.coalesce(known(name), let(start, split_at), F.concat(F.lit("&"), name))
+    return F.coalesce(let(longest, split_at), F.concat(F.lit("&"), name))
 
 
 def _decode_all(text: Column) -> Column:
