@@ -26,6 +26,20 @@ WITH rest AS (
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled
+""",
+    "op7_warc_zip": """
+WITH sized AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+           sha1(coalesce(html, '')) AS payload_digest
+    FROM pages
+), largest AS (
+    SELECT payload_digest, max(page_id) AS winner FROM sized
+    WHERE payload_bytes >= 1000 GROUP BY 1 HAVING count(*) > 1
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN winner <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN winner <> page_id THEN winner END AS refers_to
+FROM sized LEFT JOIN largest USING (payload_digest)
 """,
     "op8_chat_formatting": r"""
 WITH turns AS (

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadlake.llm import chat, decontaminate, packing, token_counts, url_rules
+from threadlake.llm import chat, decontaminate, packing, token_counts, url_rules, warc_zip
 from threadlake.llm.common import table
 from threadlake.session import rows_frame
 
@@ -42,6 +42,14 @@ def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    manifest = warc_zip.write_packages(pages, warc_zip.run_folder(spark))
+    return warc_zip.read_packages(manifest, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     added = [
@@ -62,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": decontaminated,
     "op3_url_filters": url_filter,
     "op4_token_counts": token_count,
+    "op7_warc_zip": warc_round_trip,
     "op8_chat_formatting": chat_format,
     "op9_best_fit_packing": best_fit_packing,
 }
