@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadlake.llm import chat, decontaminate, packing, token_counts, url_rules, warc_zip
+from threadlake.llm import chat, decontaminate, html_wrappers, packing, token_counts, url_rules, warc_zip
 from threadlake.llm.common import table
 from threadlake.session import rows_frame
 
@@ -66,6 +66,10 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.extract_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": decontaminated,
     "op3_url_filters": url_filter,
@@ -73,4 +77,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_warc_zip": warc_round_trip,
     "op8_chat_formatting": chat_format,
     "op9_best_fit_packing": best_fit_packing,
+    "op10_html_extraction": main_texts,
 }
