@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadlake.llm import chat, decontaminate, html_wrappers, packing, token_counts, url_rules, warc_zip
+from threadlake.llm import chat, decontaminate, html_wrappers, neighbours, packing, token_counts, url_rules, warc_zip
 from threadlake.llm.common import table
 from threadlake.session import rows_frame
 
@@ -25,6 +25,10 @@ URL_RULES = (
 ADDED_TEXT = "</s>[INST] ok [/INST]"
 
 
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_of_rows(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def decontaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = decontaminate.scan_documents(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10
@@ -71,6 +75,7 @@ def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_nearest_neighbours": nearest_neighbours,
     "op2_decontamination": decontaminated,
     "op3_url_filters": url_filter,
     "op4_token_counts": token_count,
