@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadlake.llm import chat, decontaminate, html_wrappers, neighbours, packing, token_counts, url_rules, warc_zip
+from threadlake.llm import chat, decontaminate, html_wrappers, neighbours, packing, quality, token_counts, url_rules, warc_zip
 from threadlake.llm.common import table
 from threadlake.session import rows_frame
 
@@ -46,6 +46,12 @@ def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    model = quality.fit_quality(documents, table(spark, sf_dir, "labels"))
+    return quality.score_documents(documents, model)
+
+
 def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     manifest = warc_zip.write_packages(pages, warc_zip.run_folder(spark))
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": decontaminated,
     "op3_url_filters": url_filter,
     "op4_token_counts": token_count,
+    "op6_quality_classifier": quality_scores,
     "op7_warc_zip": warc_round_trip,
     "op8_chat_formatting": chat_format,
     "op9_best_fit_packing": best_fit_packing,
