@@ -228,3 +228,33 @@ def report(scanned: DataFrame) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"),
     )
 
+
+
+def keep_clean(
+    df: DataFrame,
+    benchmark: DataFrame,
+    window: int = 10,
+    text_column: str = "text",
+    item_column: str = "item_id",
+    item_text_column: str = "text",
+) -> DataFrame:
+    """The rows of ``df``, with all their columns, in which no window occurs."""
+    context = df.sparkSession.sparkContext
+    chosen = benchmark.select(
+        F.coalesce(F.col(item_column).cast("string"), F.lit("null")), F.col(item_text_column).cast("string")
+    )
+    at = df.columns.index(text_column)
+    rows = df
+    for part in slices(map(tuple, chosen.toLocalIterator()), window):
+        rows = rows.mapInArrow(_clean_batches(context.broadcast(part), at), df.schema)
+    return rows
+
+
+def _clean_batches(shared, at: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        scanner = Scanner(shared.value)
+        for batch in batches:
+            clean = [not scanner.scan(text.as_py())[1] for text in batch.column(at)]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return run

@@ -26,6 +26,30 @@ WITH rest AS (
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled
+""",
+    "op5_jaccard_join": r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(
+        range(1, greatest(len(w) - 2, 2)), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+    FROM words
+), shingles AS (
+    SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), link AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM shingles AS a JOIN shingles AS b USING (shingle)
+    WHERE a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id
+FROM sets JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
 """,
     "op7_warc_zip": """
 WITH sized AS (

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadlake.llm import chat, decontaminate, html_wrappers, neighbours, packing, quality, token_counts, url_rules, warc_zip
+from threadlake.llm import chat, decontaminate, html_wrappers, jaccard_join, neighbours, packing, quality, token_counts, url_rules, warc_zip
 from threadlake.llm.common import table
 from threadlake.session import rows_frame
 
@@ -46,6 +46,10 @@ def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def jaccard_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_classes(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     model = quality.fit_quality(documents, table(spark, sf_dir, "labels"))
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": decontaminated,
     "op3_url_filters": url_filter,
     "op4_token_counts": token_count,
+    "op5_jaccard_join": jaccard_classes,
     "op6_quality_classifier": quality_scores,
     "op7_warc_zip": warc_round_trip,
     "op8_chat_formatting": chat_format,
