@@ -114,6 +114,7 @@ def test_process_removes_duplicates_and_orphans(spark, lake):
     )
     stats = jobs.process_day(spark, lake, DAY)
     assert {k: v for k, v in stats.items() if isinstance(v, int)} == {
+        "stories_bad_lines": 0, "comments_bad_lines": 0,
         "stories_raw": 4, "stories_dropped": 1, "stories_duplicates_removed": 1,
         "comments_raw": 5, "comments_dropped": 1, "comments_duplicates_removed": 1,
         "stories_processed": 2, "comments_processed": 2, "comments_orphaned": 1,

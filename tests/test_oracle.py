@@ -6,6 +6,8 @@ import pytest
 
 import __spark_entry__ as driver
 import check_oracle
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -17,14 +19,14 @@ def connection():
     return check_oracle.connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, connection, name):
     outcome, _, _ = check_oracle.compare(spark, connection, name, SF)
     assert outcome.startswith("ok"), outcome
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry(spark):

@@ -15,9 +15,9 @@ RAW_STORY_COLUMNS = (
 
 def raw_stories(spark, *changes):
     base = {
-        "id": "100", "type": "story", "by": "user1", "time": "1706745600", "title": "Test Story 1",
-        "url": "https://example.com/1", "text": None, "score": "150", "descendants": "45",
-        "kids": [201, 202], "dead": None, "deleted": None,
+        "id": "6021", "type": "story", "by": "orla", "time": "1709251199", "title": "Leap seconds explained",
+        "url": "https://clocks.example/leap", "text": None, "score": "31", "descendants": "8",
+        "kids": [6030, 6044], "dead": None, "deleted": None,
     }
     data = [{**base, **change} for change in changes or ({},)]
     return spark.createDataFrame(data, RAW_STORY_COLUMNS)
@@ -29,7 +29,7 @@ def test_conform_stories(spark):
     assert [f.dataType for f in df.schema.fields][:-1] == [f.dataType for f in STORY.fields]
     row = df.withColumn("time", F.col("time").cast("string")).first()
     assert (row.id, row.time, row.score, row.descendants, row.kids) == (
-        100, "2024-02-01 00:00:00", 150, 45, [201, 202],
+        6021, "2024-02-29 23:59:59", 31, 8, [6030, 6044],
     )
     assert row.ingestion_date == "2026-02-01"
 
@@ -43,7 +43,7 @@ def test_conform_settles_bad_values(spark):
         "2026-02-01",
     )
     assert rows(df, "id", "score", "descendants", "dead") == [
-        (1, 0, 0, None), (2, 150, 45, True), (3, 150, 45, None),
+        (1, 0, 0, None), (2, 31, 8, True), (3, 31, 8, None),
     ]
     assert df.where("id = 3").first().time is None
 
@@ -65,7 +65,7 @@ def test_conform_comments_needs_id_and_parent(spark):
     assert counts.asDict() == {"rows": 4, "null_id": 1, "null_parent": 2, "dropped": 3}
 
 
-DAYS = [(100, "2026-02-01", 50, 1), (100, "2026-02-01", 75, 2), (200, "2026-02-01", 30, 3), (100, "2026-02-02", 9, 4)]
+DAYS = [(7, "2026-02-01", 12, 1), (7, "2026-02-01", 4, 2), (8, "2026-02-01", 66, 3), (7, "2026-02-02", 9, 4)]
 DAY_COLUMNS = "id bigint, ingestion_date string, score bigint, place int"
 
 
@@ -73,7 +73,7 @@ def test_keep_last(spark):
     df = spark.createDataFrame(DAYS, DAY_COLUMNS)
     kept = dedup.keep_last(df, ["id", "ingestion_date"], ["place"])
     assert rows(kept, "id", "ingestion_date", "score") == [
-        (100, "2026-02-01", 75), (100, "2026-02-02", 9), (200, "2026-02-01", 30),
+        (7, "2026-02-01", 4), (7, "2026-02-02", 9), (8, "2026-02-01", 66),
     ]
     assert kept.columns == df.columns
 
@@ -117,19 +117,19 @@ def ids(spark, *values):
 
 
 def test_split_orphans(spark):
-    stories = ids(spark, 100)
+    stories = ids(spark, 11, 12)
     valid, orphans = integrity.split_orphans(
-        stories, comments(spark, [(201, 100), (202, 888), (203, 999), (204, 777)])
+        stories, comments(spark, [(40, 12), (41, 5), (42, 40), (43, 6), (44, 5)])
     )
-    assert rows(valid, "id") == [(201,)] and orphans.count() == 3
-    valid, orphans = integrity.split_orphans(stories, comments(spark, [(201, 100), (301, 201)]))
-    assert valid.count() == 2 and orphans.count() == 0
+    assert rows(valid, "id") == [(40,), (42,)] and rows(orphans, "id") == [(41,), (43,), (44,)]
+    valid, orphans = integrity.split_orphans(stories, comments(spark, [(50, 11), (51, 50), (52, 51)]))
+    assert valid.count() == 3 and orphans.count() == 0
 
 
 def test_split_is_one_pass(spark):
     """A reply to a dropped comment stays."""
-    valid, orphans = integrity.split_orphans(ids(spark, 100), comments(spark, [(202, 888), (301, 202)]))
-    assert rows(valid) == [(301, 202)] and rows(orphans) == [(202, 888)]
+    valid, orphans = integrity.split_orphans(ids(spark, 11), comments(spark, [(41, 5), (60, 41)]))
+    assert rows(valid) == [(60, 41)] and rows(orphans) == [(41, 5)]
 
 
 def test_flag_keeps_every_row(spark):

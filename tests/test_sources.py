@@ -65,10 +65,28 @@ def test_bad_lines(spark, lake):
         read_partition(spark, lake, "raw", "stories", DAY, RAW_STORY, bad="ignore")
 
 
-def test_unreadable_parquet_is_skipped(spark, lake):
+def test_damaged_parquet_is_an_error_or_left_out_whole(spark, lake):
     writers.write_partition(numbers(spark, 1, 2), lake, "processed", "n", DAY)
     put(lake, "n", DAY, "broken.parquet", ["not parquet at all, but long enough"], "processed")
-    assert rows(read_partition(spark, lake, "processed", "n", DAY, NUMBERS, "parquet"), "id") == [(1,), (2,)]
+    big = spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    target = str(Path(lake.root) / "big")
+    big.coalesce(1).write.option("parquet.block.size", 1 << 20).parquet(target)
+    (file,) = Path(target).glob("*.parquet")
+    raw = bytearray(file.read_bytes())
+    middle = len(raw) * 3 // 4
+    raw[middle : middle + 20_000] = b"\xff" * 20_000
+    (Path(lake.root) / "processed" / "n" / f"ingestion_date={DAY}" / "half.parquet").write_bytes(raw)
+    with pytest.raises(Exception):
+        read_partition(spark, lake, "processed", "n", DAY, NUMBERS, "parquet").collect()
+    whole = read_partition(spark, lake, "processed", "n", DAY, NUMBERS, "parquet", bad="file")
+    assert rows(whole, "id") == [(1,), (2,)]
+
+
+def test_every_line_is_accounted_for(spark, lake):
+    put(lake, "stories", DAY, "a.json", ['{"id": 1}', '{"id": 2', '{"id": 3}'])
+    lines = readers.read_lines(spark, lake, "raw", "stories", DAY, RAW_STORY)
+    assert rows(lines.where("bad_line IS NOT NULL"), "bad_line") == [('{"id": 2',)]
+    assert lines.where("bad_line IS NULL").select("id").count() == 2
 
 
 def test_arrival_orders_files_then_lines(spark, lake):
@@ -140,6 +158,18 @@ def test_guards(spark, lake):
     assert read_table(spark, lake, "processed", "n", NUMBERS).count() == 1
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_an_empty_rerun_empties_its_day(spark, lake, fmt):
+    df = numbers(spark, 1)
+    for day in (DAY, "2026-02-08"):
+        writers.write_partition(df, lake, "processed", "n", day, fmt)
+    with pytest.raises(writers.NothingToWrite):
+        writers.write_partition(df.where("false"), lake, "processed", "n", DAY, fmt, replace_empty=True)
+    table = lake.table("processed", "n")
+    left = spark.read.option("header", True).format(fmt).load(table)
+    assert {str(row.ingestion_date) for row in left.collect()} == {"2026-02-08"}
+
+
 def test_json_is_utf8_and_bounded(spark, lake):
     df = spark.createDataFrame([(i, "é漢") for i in range(10)], NUMBERS).coalesce(1)
     writers.write_partition(df, lake, "raw", "n", DAY, "json", max_records_per_file=4)
@@ -184,6 +214,18 @@ def test_state_snapshots(spark, lake):
     assert state.load_state(spark, lake, "2026-02-05").count() == 0
 
 
+def test_an_empty_state_is_a_state(spark, lake):
+    first = spark.createDataFrame(STATE, TRACKING_STATE)
+    assert state.save_state(first, lake, "2026-02-05") == 1
+    assert state.save_state(first.where("false"), lake, "2026-02-06") == 0
+    assert state.load_state(spark, lake, DAY).count() == 0
+    assert state.read_snapshot(spark, lake, "2026-02-05").count() == 1
+    # A run again that leaves nothing replaces what was there.
+    state.save_state(first.where("false"), lake, "2026-02-05")
+    assert state.load_state(spark, lake, "2026-02-06").count() == 0
+    assert rows(state.saved_states(spark, lake), "as_of", "stories") == [("2026-02-05", 0), ("2026-02-05", 1), ("2026-02-06", 0)]
+
+
 def test_corrupt_state_is_an_error(spark, lake):
     state.save_state(spark.createDataFrame(STATE, TRACKING_STATE), lake, "2026-02-05")
     for file in (Path(lake.tracking) / "as_of=2026-02-05").glob("*.parquet"):

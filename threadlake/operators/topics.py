@@ -95,11 +95,26 @@ def score_terms(
     idf = literal_lookup(idf_of)
 
     def best(hits: Column) -> Column:
-        def weight(term: Column) -> Column:
-            tf = F.size(F.filter(hits, lambda other: other == term))
+        # Sorted, equal terms stand in one run, from the place where the term differs from
+        # the one before it to the place of the next such term.
+        def starts(terms: Column) -> Column:
+            places = F.sequence(F.lit(0), F.size(terms) - 1)
+            return F.filter(
+                places, lambda i: (i == 0) | (F.get(terms, i) != F.get(terms, F.greatest(i - 1, F.lit(0))))
+            )
+
+        def weights(terms: Column) -> Column:
+            def of(first: Column) -> Column:
+                nexts = F.concat(F.slice(first, 2, F.size(first)), F.array(F.size(terms)))
+                return F.zip_with(first, nexts, lambda a, b: entry(F.get(terms, a), b - a))
+
+            return let(starts(terms), of)
+
+        def entry(term: Column, tf: Column) -> Column:
             return F.struct((tf * idf(term)).alias("weight"), term.alias("term"))
 
-        ranked = F.sort_array(F.transform(F.array_distinct(hits), weight), asc=False)
+        found = F.when(F.size(hits) > 0, let(F.array_sort(hits), weights))
+        ranked = F.sort_array(F.coalesce(found, F.array().cast("array<struct<weight:double,term:string>>")), asc=False)
         return F.transform(F.slice(ranked, 1, top_n), lambda entry: entry["term"])
 
     hits = F.filter(word_tokens(F.col(column)), lambda token: idf(token).isNotNull())

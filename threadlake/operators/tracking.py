@@ -15,8 +15,6 @@ RECENT_DAYS = 7
 MAX_STORIES = 20
 TRACKING_DAYS = 7
 
-_SMALL_RANKING = 100_000
-
 
 def has_changed(
     score: Column, descendants: Column, last_score: Column, last_descendants: Column
@@ -137,18 +135,13 @@ def discover(
 ) -> DataFrame:
     """Stories of the last week among the first ``max_stories`` of a ranking.
 
-    ``ranked`` holds ``rank`` (from 1) and ``id``. The limit comes before the
+    ``ranked`` holds ``rank`` (from 1) and ``id``. All ids whose rank is at most
+    ``max_stories`` count, also several of one rank. The limit comes before the
     filter, so fewer may be left. An empty ranking means the source failed.
     """
     if ranked.isEmpty():
         raise RuntimeError("the ranking is empty; the source gave no ids")
-    top = ranked.where(F.col("rank") <= max_stories)
-    wanted = F.col("id").alias("_id")
-    if max_stories <= _SMALL_RANKING:
-        # At most max_stories ids, whatever the ranking holds.
-        top = F.broadcast(top.orderBy("rank", "id").limit(max_stories).select(wanted))
-    else:
-        top = top.select(wanted)
+    top = ranked.where(F.col("rank") <= max_stories).select(F.col("id").alias("_id"))
     since = F.unix_timestamp(F.to_timestamp(F.lit(as_of))) - recent_days * 86400
     return items.where(
         (F.col("type") == "story") & (epoch_seconds(items, "time") >= since)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from threadlake.functions.casts import lenient_long
 from threadlake.operators import quality, tracking
 from threadlake.operators.conform import (
     COMMENT_KEYS,
@@ -18,7 +19,6 @@ from threadlake.operators.conform import (
     conform,
     conform_comments,
     conform_stories,
-    incomplete_counts,
 )
 from threadlake.operators.dedup import keep_last, merge_prefer
 from threadlake.operators.integrity import (
@@ -48,8 +48,8 @@ from threadlake.schemas import (
 )
 from threadlake.session import rows_frame, stage
 from threadlake.sources.layout import Lake
-from threadlake.sources.readers import ARRIVAL, read_partition, read_window
-from threadlake.sources.state import load_state, save_state
+from threadlake.sources.readers import ARRIVAL, read_lines, read_partition, read_window
+from threadlake.sources.state import load_state, read_snapshot, save_state
 from threadlake.sources.writers import RECORDS_PER_FILE, NothingToWrite, write_partition
 
 ROW_KEY = ["id", PARTITION_COLUMN]
@@ -92,10 +92,13 @@ def _check(
 
 
 def _publish(df: DataFrame, lake: Lake, layer: str, entity: str, date: str, source: str) -> int:
-    return write_partition(
-        df.drop(PARTITION_COLUMN), lake, layer, entity, date, "parquet",
-        extras={"entity_type": entity, "source_layer": source},
-    )
+    try:
+        return write_partition(
+            df.drop(PARTITION_COLUMN), lake, layer, entity, date, "parquet",
+            extras={"entity_type": entity, "source_layer": source}, replace_empty=True,
+        )
+    except NothingToWrite:
+        return 0
 
 
 # Ingest.
@@ -127,8 +130,8 @@ def ingest_day(
     following = tracking.merge_state(
         state, tracking.story_metrics(merged), fresh, date, config.tracking_days
     )
-    save_state(following, lake, date)
-    following = load_saved(spark, lake, date)
+    active_count = save_state(following, lake, date)
+    following = read_snapshot(spark, lake, date)
 
     if total:
         write_partition(
@@ -150,33 +153,32 @@ def ingest_day(
         "new_stories": fresh_count,
         "updated_stories": updated_count,
         "total_comments": comment_count,
-        "active_tracked_stories": following.count(),
+        "active_tracked_stories": active_count,
     }
 
 
-def load_saved(spark: SparkSession, lake: Lake, date: str) -> DataFrame:
-    """The snapshot just written for ``date``."""
-    return load_state(spark, lake, before=f"{date}~")
-
-
 def read_source(
     spark: SparkSession, lake: Lake, date: str, config: JobConfig = JobConfig()
 ) -> tuple[DataFrame, DataFrame]:
     """The landed ``raw/items`` and ``raw/ranked_ids`` of a day, as ``ingest_day`` takes them.
 
-    An item landed more than once counts as it was landed last.
+    An item landed more than once counts as it was landed last, and so does a rank.
+    Ids may come as numbers or as text, also with a fraction of zero.
     """
     landed = read_partition(
         spark, lake, "raw", "items", date, RAW_ITEM, bad=config.bad_input, with_arrival=True
     )
     items = (
-        landed.withColumn("id", F.col("id").try_cast("bigint"))
+        landed.withColumn("id", lenient_long(F.col("id")))
         .where(F.col("id").isNotNull())
-        .withColumn("kids", F.transform("kids", lambda kid: kid.try_cast("bigint")))
+        .withColumn("kids", F.transform("kids", lenient_long))
     )
     items = keep_last(items, ["id"], [ARRIVAL]).drop(ARRIVAL, PARTITION_COLUMN)
-    ranked = read_partition(spark, lake, "raw", "ranked_ids", date, RANKED_IDS)
-    return items, ranked.drop(PARTITION_COLUMN)
+    ranked = read_partition(
+        spark, lake, "raw", "ranked_ids", date, RANKED_IDS, bad=config.bad_input, with_arrival=True
+    )
+    ranked = keep_last(ranked, ["rank"], [ARRIVAL]).drop(ARRIVAL, PARTITION_COLUMN)
+    return items, ranked
 
 
 # Process.
@@ -214,8 +216,8 @@ def process_day(
         comments, comment_count = unique_comments, unique_count
 
     stats = {
-        **_input_stats("stories", raw_stories, STORY, STORY_KEYS, story_count),
-        **_input_stats("comments", raw_comments, COMMENT, COMMENT_KEYS, unique_count),
+        **_input_stats(spark, lake, date, "stories", RAW_STORY, STORY, STORY_KEYS, story_count),
+        **_input_stats(spark, lake, date, "comments", RAW_COMMENT, COMMENT, COMMENT_KEYS, unique_count),
         "stories_processed": story_count,
         "comments_processed": comment_count,
         "comments_orphaned": unique_count - comment_count,
@@ -231,10 +233,9 @@ def process_day(
         stats["quality_comments"] = _check(
             comments, quality.comment_suite(parents), lake, "processed", "comments", date
         )
-    if story_count:
-        _publish(stories, lake, "processed", "stories", date, "raw")
-    if comment_count:
-        _publish(comments, lake, "processed", "comments", date, "raw")
+    # A day that has become empty is emptied, so that no older rows stay beside new ones.
+    _publish(stories, lake, "processed", "stories", date, "raw")
+    _publish(comments, lake, "processed", "comments", date, "raw")
     return stats
 
 
@@ -243,38 +244,74 @@ def _drop_orphans(
 ) -> tuple[DataFrame, int]:
     """Comments with a known parent; with ``cascade``, also none below a dropped one.
 
-    A cascade follows the dropped ids down, one round per level, on ids and
-    parents only. The rows themselves are taken once, at the end.
+    A cascade follows each comment's parent, then its parent's, then four steps up and
+    so on, on ids and parents only: rounds grow with the logarithm of the depth.
+    The rows themselves are taken once, at the end.
     """
     keys = key_set(stories.select("id"), comments.select("id"))
     if not cascade:
         return stage(rows_with_key(comments, "parent", keys), "with-parent")
-    links = comments.select("id", "parent")
-    lost, count = stage(rows_without_key(links, "parent", keys).select("id"), "orphans")
-    dropped = [lost]
-    while count:
-        # An id that is also a story's still stands for the story.
-        parents = lost.join(stories.select("id"), "id", "left_anti").select(
-            F.col("id").alias("_lost")
+    lost = rows_without_key(comments.select("id", "parent"), "parent", keys).select("id")
+    lost, count = stage(lost, "orphans")
+    if not count:
+        return stage(comments, "with-parent")
+    # An id that is also a story's stands for the story: nothing above it matters.
+    own = comments.select("id", "parent").join(
+        stories.select(F.col("id").alias("parent"), F.lit(True).alias("_top")), "parent", "left"
+    )
+    marked = own.join(lost.withColumn("_lost", F.lit(True)), "id", "left").select(
+        "id",
+        F.when(F.col("_top").isNull() & F.col("_lost").isNull(), F.col("parent")).alias("up"),
+        F.col("_lost").isNotNull().alias("lost"),
+    )
+    chains, links = stage(marked.dropDuplicates(["id"]), "chains")
+    reach = 1
+    # A loop never ends; after as many steps as there are links it has lost nothing.
+    while reach < links and not chains.where("up IS NOT NULL AND NOT lost").isEmpty():
+        above = chains.select(
+            F.col("id").alias("up"), F.col("up").alias("_up"), F.col("lost").alias("_lost")
+        )
+        further = chains.join(above, "up", "left").select(
+            "id", F.col("_up").alias("up"), (F.col("lost") | F.coalesce("_lost", F.lit(False))).alias("lost")
         )
-        below = links.join(parents, F.col("parent") == F.col("_lost"), "left_semi")
-        lost, count = stage(below.select("id"), "below-orphans")
-        dropped.append(lost)
-    return stage(comments.join(reduce(DataFrame.union, dropped), "id", "left_anti"), "with-ancestors")
+        chains, _ = stage(further, "chains")
+        reach *= 2
+    gone = chains.where("lost").select("id")
+    return stage(comments.join(gone, "id", "left_anti"), "with-ancestors")
 
 
 def _input_stats(
-    entity: str, raw: DataFrame, schema: T.StructType, keys: list[str], unique: int
+    spark: SparkSession,
+    lake: Lake,
+    date: str,
+    entity: str,
+    raw_schema: T.StructType,
+    schema: T.StructType,
+    keys: list[str],
+    unique: int,
 ) -> dict[str, int]:
-    """Counts of what came in: one narrow pass over the raw files.
+    """Counts of what came in, every line of it; lines that do not parse are kept aside.
 
-    Counting inside the first job instead would count rows twice where a lost
-    executor makes Spark run a shuffle stage again.
+    One more pass over the raw files: counting inside the first job instead would count
+    rows twice where a lost executor makes Spark run a shuffle stage again. What
+    ``bad_input="file"`` leaves out with a bad line counts as removed, too.
     """
+    lines = read_lines(spark, lake, "raw", entity, date, raw_schema)
+    good = F.col("bad_line").isNull()
     key_schema = T.StructType([schema[key] for key in keys])
-    counts = incomplete_counts(conform(raw, key_schema), keys).first()
+    typed = conform(lines, key_schema, keep=("bad_line",))
+    complete = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
+    counts = typed.agg(
+        F.count_if(good).alias("rows"),
+        F.count_if(good & ~complete).alias("dropped"),
+        F.count_if(~good).alias("bad"),
+    ).first()
+    if counts["bad"]:
+        kept = lines.where(~good).select("file", "bad_line")
+        kept.write.mode("overwrite").json(f"{lake.quarantine(entity)}/{PARTITION_COLUMN}={date}")
     return {
         f"{entity}_raw": counts["rows"],
+        f"{entity}_bad_lines": counts["bad"],
         f"{entity}_dropped": counts["dropped"],
         f"{entity}_duplicates_removed": counts["rows"] - counts["dropped"] - unique,
     }

@@ -133,7 +133,7 @@ REPORTS = [
 def run_reports(
     spark: SparkSession, lake: Lake, date: str, reports: list[Report] | None = None
 ) -> dict[str, int]:
-    """Write each report as CSV. An empty one is passed over, and one that fails
+    """Write each report as CSV. An empty one empties its day, and one that fails
     is counted and does not stop the others."""
     stats = {"reports_generated": 0, "reports_empty": 0, "reports_failed": 0}
     for report in REPORTS if reports is None else reports:
@@ -141,7 +141,8 @@ def run_reports(
             stories = read_table(spark, lake, "output", "stories", OUTPUT_STORY, date)
             comments = read_table(spark, lake, "output", "comments", OUTPUT_COMMENT, date)
             write_partition(
-                report.build(stories, comments), lake, "reports", report.name, date, "csv"
+                report.build(stories, comments), lake, "reports", report.name, date, "csv",
+                replace_empty=True,
             )
             stats["reports_generated"] += 1
         except NothingToWrite:

@@ -26,6 +26,13 @@ class Lake:
     def tracking(self) -> str:
         return f"{self.root.rstrip('/')}/metadata/tracking"
 
+    @property
+    def tracking_log(self) -> str:
+        return f"{self.root.rstrip('/')}/metadata/tracking_log"
+
+    def quarantine(self, entity: str) -> str:
+        return f"{self.root.rstrip('/')}/metadata/quarantine/{entity}"
+
 
 def require(value: str, allowed: tuple[str, ...], what: str) -> None:
     if value not in allowed:

@@ -7,7 +7,7 @@ from datetime import date as Date
 from datetime import timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,6 +35,7 @@ def _load(
     schema: T.StructType,
     fmt: str,
     columns: Sequence[str],
+    past_damage: bool = False,
 ) -> DataFrame:
     """Only the folders of ``dates`` are listed; dates without one are skipped."""
     require(layer, READABLE_LAYERS, "layer")
@@ -53,7 +54,7 @@ def _load(
         reader = reader.schema(T.StructType([*wanted.fields, corrupt])).option(
             "columnNameOfCorruptRecord", _CORRUPT
         )
-    else:
+    elif past_damage:
         reader = reader.option("ignoreCorruptFiles", "true")
     path = base if dates is None else f"{base}/{PARTITION_COLUMN}={{{','.join(dates)}}}"
     try:
@@ -71,12 +72,18 @@ def reader_schema(schema: T.StructType, fmt: str) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
 
 
+def _readable(df: DataFrame) -> Column:
+    """Always true, and reads a column besides the one for bad lines.
+
+    Spark refuses to scan JSON for the bad-line column alone, as a count would.
+    """
+    first = F.col(df.columns[0]).cast("string")
+    return F.length(F.concat(F.coalesce(first, F.lit("")), F.lit("."))) > 0
+
+
 def _json_rows(df: DataFrame, bad: str) -> DataFrame:
     """Rows that parsed. ``bad="file"`` also drops the other rows of a file with a bad line."""
-    first = df.columns[0]
-    # Spark refuses to scan JSON for the bad-line column alone, as a count
-    # would; a condition on another column, always true, keeps that one read.
-    readable = F.length(F.concat(F.coalesce(F.col(first).cast("string"), F.lit("")), F.lit("."))) > 0
+    readable = _readable(df)
     good = df.where(F.col(_CORRUPT).isNull() & readable)
     if bad == "row":
         return good.drop(_CORRUPT)
@@ -86,6 +93,32 @@ def _json_rows(df: DataFrame, bad: str) -> DataFrame:
     return good.join(staged, _FILE, "left_anti").drop(_CORRUPT)
 
 
+def _whole_files(df: DataFrame) -> DataFrame:
+    """Rows of the Parquet files that can be read from end to end.
+
+    Read past damage, a file gives the rows before it. So all columns are decoded
+    once, and a file stays if that gave as many rows as its footer tells.
+    """
+    columns = [c for c in df.columns if c != _FILE]
+    # The largest hash is there so that every column is decoded; a count alone reads none.
+    decoded = df.groupBy(_FILE).agg(
+        F.count(F.lit(1)).alias("decoded"), F.max(F.xxhash64(*columns)).alias("_hash")
+    ).where("_hash IS NOT NULL")
+    told = df.groupBy(_FILE).agg(F.count(F.lit(1)).alias("told"))
+    whole = decoded.join(told, _FILE).where("decoded = told").select(_FILE)
+    staged, _ = stage(whole, "whole-files")
+    return df.join(staged, _FILE, "left_semi")
+
+
+def read_lines(
+    spark: SparkSession, lake: Lake, layer: str, entity: str, date: str, schema: T.StructType
+) -> DataFrame:
+    """All JSON lines of a day, with ``bad_line`` (null where it parsed) and ``file``."""
+    columns = [F.col("_metadata.file_path").alias(_FILE)]
+    df = _load(spark, lake, layer, entity, [date], schema, "json", columns)
+    return df.where(_readable(df)).withColumnsRenamed({_CORRUPT: "bad_line", _FILE: "file"})
+
+
 def read_partition(
     spark: SparkSession,
     lake: Lake,
@@ -101,14 +134,15 @@ def read_partition(
 
     Files of another format in the folder are passed over. A JSON line that
     does not parse is dropped (``bad="row"``) or takes its file with it
-    (``bad="file"``); an unreadable Parquet file is skipped.
+    (``bad="file"``). A damaged Parquet file is an error, or with ``bad="file"`` left out
+    as a whole, never read in part.
 
     ``with_arrival`` adds ``_arrival``, which orders rows by file time, file
     name and place in the file, for "the last one wins".
     """
     require(bad, ("row", "file"), "bad")
     columns = []
-    if fmt == "json" and (bad == "file" or with_arrival):
+    if bad == "file" or (fmt == "json" and with_arrival):
         columns = [F.col("_metadata.file_path").alias(_FILE)]
     if with_arrival:
         columns.append(
@@ -119,7 +153,9 @@ def read_partition(
                 F.monotonically_increasing_id().alias("row"),
             ).alias(ARRIVAL)
         )
-    df = _load(spark, lake, layer, entity, [date], schema, fmt, columns)
+    df = _load(spark, lake, layer, entity, [date], schema, fmt, columns, bad == "file")
+    if fmt == "parquet" and bad == "file":
+        df = _whole_files(df)
     if with_arrival and ARRIVAL not in df.columns:
         df = df.withColumn(ARRIVAL, F.lit(None).cast("string"))
     if fmt == "json":

@@ -19,7 +19,7 @@ RECORDS_PER_FILE = 1_000_000
 
 
 class NothingToWrite(ValueError):
-    """The frame had no rows; what was there before is untouched."""
+    """The frame had no rows. What was there before is untouched, unless it was to be replaced."""
 
 
 def write_partition(
@@ -31,12 +31,16 @@ def write_partition(
     fmt: str = "parquet",
     extras: Mapping[str, object] | None = None,
     max_records_per_file: int | None = None,
+    replace_empty: bool = False,
 ) -> int:
     """Write one day of a table and return its row count.
 
     The raw layer appends, since a landing adds to a day. Every other layer
     replaces exactly that day, so a re-run leaves the same rows. The rows are
     counted while they are written, and the count goes to the manifest.
+
+    A frame without rows raises ``NothingToWrite``. With ``replace_empty`` the day is
+    emptied first, as a job that is run again for a day must do.
     """
     require(layer, LAYERS, "layer")
     require(fmt, FORMATS, "format")
@@ -59,6 +63,10 @@ def write_partition(
 
     count = seen.get["rows"]
     if not count:
+        if replace_empty and layer != "raw":
+            folder = f"{lake.table(layer, entity)}/{PARTITION_COLUMN}={date}"
+            df.limit(0).coalesce(1).write.mode("overwrite").format(fmt).save(folder)
+            record_write(df, lake, layer, entity, date, fmt, 0, extras)
         raise NothingToWrite(f"no rows for {layer}/{entity} of {date}")
     record_write(df, lake, layer, entity, date, fmt, count, extras)
     return count

@@ -542,16 +542,25 @@ ORACLES = {
         FROM kept_replies""",
     "job_process_stats": f"""
         WITH {KEPT_REPLIES}
-        SELECT (SELECT count(*) FROM labels) AS stories_raw,
+        SELECT (SELECT count(*) FROM documents) AS stories_raw,
+               CAST(0 AS BIGINT) AS stories_bad_lines, CAST(0 AS BIGINT) AS comments_bad_lines,
                CAST(0 AS BIGINT) AS stories_dropped,
                CAST(0 AS BIGINT) AS stories_duplicates_removed,
                (SELECT count(*) FROM replies) AS comments_raw,
                CAST(0 AS BIGINT) AS comments_dropped,
                CAST(0 AS BIGINT) AS comments_duplicates_removed,
-               (SELECT count(*) FROM labels) AS stories_processed,
+               (SELECT count(*) FROM documents) AS stories_processed,
                (SELECT count(*) FROM kept_replies) AS comments_processed,
                (SELECT count(*) FROM replies) - (SELECT count(*) FROM kept_replies)
                    AS comments_orphaned""",
+    "job_process_stories": f"""
+        SELECT CASE WHEN quality IS NULL THEN doc_id + 1000000000000 ELSE doc_id END AS id,
+               text AS title, n_chars AS score, CAST(coalesce(quality, 0) AS BIGINT) AS descendants,
+               '{TARGET_DATE}' AS ingestion_date
+        FROM documents LEFT JOIN labels USING (doc_id)""",
+    "discover_repeated_ranks": "SELECT doc_id AS id FROM documents WHERE doc_id % 500 + 1 <= 40",
+    "state_after_all_lapse": """
+        SELECT count(*) AS saved, CAST(0 AS BIGINT) AS left_over FROM documents""",
     "job_transform_day": f"""
         WITH {KEPT_REPLIES},{_sentiment('kept_replies', 'id')}
         SELECT k.id, parent, sentiment_score, sentiment_label, '{TARGET_DATE}' AS ingestion_date

@@ -15,8 +15,9 @@ from threadlake.operators.dedup import keep_last, merge_prefer
 from threadlake.operators.temporal import engagement_metrics
 from threadlake.operators.threads import expand_threads
 from threadlake.plans import jobs, reports
-from threadlake.schemas import OUTPUT_COMMENT, PROCESSED_COMMENT
+from threadlake.schemas import OUTPUT_COMMENT, PROCESSED_COMMENT, PROCESSED_STORY
 from threadlake.session import apply_runtime_conf, shared_folder, stage
+from threadlake.sources import state
 from threadlake.sources.layout import Lake
 from threadlake.sources.readers import days_before, read_table, spread
 from threadlake.sources.writers import write_partition
@@ -438,7 +439,7 @@ def _enriched_stories(spark, sf_dir):
     )
     # Staged as the daily job does it: terms are counted and scored over these
     # rows, and reports read the finished ones.
-    stories, _ = stage(_engagement(spark, sf_dir).join(documents, "id"), "day-stories")
+    stories, _ = stage(_engagement(spark, sf_dir).join(documents, "id", "left"), "day-stories")
     enriched = topics.top_terms(stories, "text", stop_words=views.STOP_WORDS)
     return stage(enriched.drop("text"), "enriched")[0]
 
@@ -480,15 +481,18 @@ def report_topic_trends(spark, sf_dir):
 
 
 def _landed(spark, sf_dir):
-    """Labelled documents landed as stories and conversation turns as comments."""
+    """All documents landed as stories and all conversation turns as comments.
+
+    Documents without a label get ids that no turn answers to.
+    """
     lake = Lake(f"{shared_folder(spark)}/lakes/{uuid.uuid4().hex}")
     labels = table(spark, sf_dir, "labels")
     documents = table(spark, sf_dir, "documents")
-    stories = documents.join(labels, "doc_id").select(
-        F.col("doc_id").alias("id"),
+    stories = documents.join(labels, "doc_id", "left").select(
+        F.when(F.col("quality").isNotNull(), F.col("doc_id")).otherwise(F.col("doc_id") + 10**12).alias("id"),
         F.lit("story").alias("type"),
         F.lit(1705700000).alias("time"),
-        F.concat_ws(" ", "source", "lang").alias("title"),
+        F.col("text").alias("title"),
         F.col("n_chars").alias("score"),
         F.col("quality").alias("descendants"),
     )
@@ -526,3 +530,42 @@ def job_transform_day(spark, sf_dir):
     jobs.transform_day(spark, lake, TARGET_DATE, _JOBS)
     saved = read_table(spark, lake, "output", "comments", OUTPUT_COMMENT, TARGET_DATE)
     return saved.select("id", "parent", "sentiment_score", "sentiment_label", "ingestion_date")
+
+
+@query
+def job_process_stories(spark, sf_dir):
+    lake = _landed(spark, sf_dir)
+    jobs.process_day(spark, lake, TARGET_DATE, _JOBS)
+    saved = read_table(spark, lake, "processed", "stories", PROCESSED_STORY, TARGET_DATE)
+    return saved.select("id", "title", "score", "descendants", "ingestion_date")
+
+
+@query
+def discover_repeated_ranks(spark, sf_dir):
+    """Two documents of each rank, ranked by length: all of the first ranks count."""
+    items = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"), F.lit("story").alias("type"), F.lit(1705700000).alias("time")
+    )
+    ranked = items.select((F.col("id").cast("bigint") % 500 + 1).alias("rank"), "id")
+    found = tracking.discover(ranked, items, TARGET_DATE, max_stories=40, recent_days=10_000)
+    return found.select("id")
+
+
+@query
+def state_after_all_lapse(spark, sf_dir):
+    """Every story of an old state is dropped: the state saved is empty, and is the one read."""
+    lake = Lake(f"{shared_folder(spark)}/lakes/{uuid.uuid4().hex}")
+    old = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("story_id"),
+        F.lit("2023-01-01").alias("first_seen"),
+        F.lit("2023-01-01").alias("last_updated"),
+        F.col("n_chars").alias("last_score"),
+        F.lit(0).cast("bigint").alias("last_descendants"),
+    )
+    saved = state.save_state(old, lake, "2024-01-01")
+    metrics = old.select("story_id", F.col("last_score").alias("score"), F.lit(0).cast("bigint").alias("descendants"))
+    before = state.load_state(spark, lake, "2024-01-02")
+    after = tracking.merge_state(before, metrics, before.select("story_id").where("false"), "2024-01-02")
+    state.save_state(after, lake, "2024-01-02")
+    left = state.load_state(spark, lake, "2024-01-03").agg(F.count(F.lit(1)).alias("left_over"))
+    return left.select(F.lit(saved).cast("bigint").alias("saved"), "left_over")
