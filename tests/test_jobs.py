@@ -1,22 +1,28 @@
 """End to end on a landed day, and what a re-run must leave alone."""
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from threadlake.operators.quality import QualityError
 from threadlake.plans import jobs, reports
-from threadlake.schemas import OUTPUT_STORY, PROCESSED_COMMENT, PROCESSED_STORY
+from threadlake.schemas import (
+    OUTPUT_COMMENT,
+    OUTPUT_STORY,
+    PROCESSED_COMMENT,
+    PROCESSED_STORY,
+    TRACKING_STATE,
+)
+from threadlake.session import shared_folder
 from threadlake.sources.readers import read_table
-from threadlake.sources.state import load_state, snapshot_dates
+from threadlake.sources.state import load_state, save_state, snapshot_dates
 
 DAY = "2026-02-07"
 
 
 def land(lake, entity, date, records, name="batch_20260207_100000.json"):
-    from pathlib import Path
-
     folder = Path(lake.root) / "raw" / entity / f"ingestion_date={date}"
     folder.mkdir(parents=True, exist_ok=True)
     lines = [r if isinstance(r, str) else json.dumps(r, ensure_ascii=False) for r in records]
@@ -179,3 +185,46 @@ def test_a_failing_report_does_not_stop_the_others(spark, lake):
     assert reports.run_reports(spark, lake, DAY, some) == {
         "reports_generated": 1, "reports_empty": 0, "reports_failed": 1,
     }
+
+
+def test_a_job_leaves_nothing_staged(spark, lake):
+    land(lake, "stories", DAY, [story(100)], "a.json")
+    land(lake, "comments", DAY, [comment(201, 100), comment(202, 888), comment(301, 202)], "a.json")
+    staged = Path(shared_folder(spark).removeprefix("file:")) / "staged"
+    before = set(staged.glob("*")) if staged.exists() else set()
+    jobs.process_day(spark, lake, DAY, jobs.JobConfig(cascade_orphans=True))
+    jobs.transform_day(spark, lake, DAY)
+    assert set(staged.glob("*")) == before
+    assert read_table(spark, lake, "output", "comments", OUTPUT_COMMENT).count() == 1
+
+
+def test_a_day_run_again_without_rows_is_emptied(spark, lake):
+    land(lake, "stories", DAY, [story(100)], "a.json")
+    land(lake, "comments", DAY, [comment(201, 100)], "a.json")
+    jobs.process_day(spark, lake, DAY)
+    folder = Path(lake.root) / "raw" / "comments" / f"ingestion_date={DAY}"
+    (folder / "a.json").write_text(json.dumps(comment(202, 888)))
+    jobs.process_day(spark, lake, DAY)
+    assert read_table(spark, lake, "processed", "comments", PROCESSED_COMMENT, DAY).count() == 0
+    assert read_table(spark, lake, "processed", "stories", PROCESSED_STORY, DAY).count() == 1
+
+
+def test_stories_that_lapse_leave_an_empty_state(spark, lake):
+    old = spark.createDataFrame([(3, "2026-01-01", "2026-01-01", 10, 2)], TRACKING_STATE)
+    save_state(old, lake, "2026-02-06")
+    land_source(lake, DAY)
+    items, ranked = jobs.read_source(spark, lake, DAY)
+    stats = jobs.ingest_day(spark, lake, DAY, items, ranked.where("id = 99"))
+    assert stats["active_tracked_stories"] == 0 and stats["total_comments"] == 0
+    assert snapshot_dates(spark, lake) == ["2026-02-06", DAY]
+    assert load_state(spark, lake, "2026-02-08").count() == 0
+
+
+def test_source_ids_with_a_zero_fraction(spark, lake):
+    land(lake, "items", DAY, [story("7.0", kids=["8.0", 9]), story(8.0), story("x")])
+    land(lake, "ranked_ids", DAY, [{"rank": 1, "id": 7}], "a.json")
+    land(lake, "ranked_ids", DAY, [{"rank": 1, "id": 8}], "b.json")
+    items, ranked = jobs.read_source(spark, lake, DAY)
+    assert rows(items, "id") == [(7,), (8,)]
+    assert items.where("id = 7").first().kids == [8, 9]
+    assert rows(ranked, "rank", "id") == [(1, 8)]

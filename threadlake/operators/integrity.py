@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from threadlake.session import shared_folder, stage
+from threadlake.session import stage, staged_path
 
 _KEY = "_threadlake_key"
 _KNOWN = "_threadlake_known"
@@ -84,7 +84,7 @@ def membership(df: DataFrame, column: str, keys: DataFrame) -> Membership:
         _KEY, F.col("_existing").isNotNull().alias(_KNOWN)
     )
     seen = Observation(f"membership-{uuid.uuid4().hex}")
-    path = f"{shared_folder(spark)}/staged/membership-{uuid.uuid4().hex}"
+    path = staged_path(spark, "membership")
     parted.observe(
         seen,
         F.count_if(_KNOWN).alias("known"),

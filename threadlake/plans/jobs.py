@@ -46,7 +46,7 @@ from threadlake.schemas import (
     RAW_STORY,
     STORY,
 )
-from threadlake.session import rows_frame, stage
+from threadlake.session import rows_frame, stage, staging_run
 from threadlake.sources.layout import Lake
 from threadlake.sources.readers import ARRIVAL, read_lines, read_partition, read_window
 from threadlake.sources.state import load_state, read_snapshot, save_state
@@ -104,6 +104,7 @@ def _publish(df: DataFrame, lake: Lake, layer: str, entity: str, date: str, sour
 # Ingest.
 
 
+@staging_run
 def ingest_day(
     spark: SparkSession,
     lake: Lake,
@@ -184,6 +185,7 @@ def read_source(
 # Process.
 
 
+@staging_run
 def process_day(
     spark: SparkSession, lake: Lake, date: str, config: JobConfig = JobConfig()
 ) -> dict[str, object]:
@@ -320,6 +322,7 @@ def _input_stats(
 # Transform.
 
 
+@staging_run
 def transform_day(
     spark: SparkSession, lake: Lake, date: str, config: JobConfig = JobConfig()
 ) -> dict[str, object]:
@@ -380,6 +383,7 @@ def report_day(spark: SparkSession, lake: Lake, date: str) -> dict[str, int]:
     return run_reports(spark, lake, date)
 
 
+@staging_run
 def run_day(
     spark: SparkSession, lake: Lake, date: str, config: JobConfig = JobConfig()
 ) -> dict[str, dict]:

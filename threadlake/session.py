@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import json
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +72,41 @@ def rows_frame(
     return spark.range(1).select(F.inline(array))
 
 
+_RUN: ContextVar[str] = ContextVar("threadlake_run", default="")
+
+
+def staged_path(spark: SparkSession, label: str) -> str:
+    """A new place below the shared folder, and below that of the run, if there is one."""
+    return f"{shared_folder(spark)}/staged/{_RUN.get()}{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside goes at the end, also after a failure.
+
+    Nothing that reads staged rows may be used after that.
+    """
+    name = f"{_RUN.get()}run-{uuid.uuid4().hex}/"
+    token = _RUN.set(name)
+    try:
+        yield
+    finally:
+        _RUN.reset(token)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/staged/{name}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def staging_run(job: Callable) -> Callable:
+    """A job, whose first argument is the session, in a run folder of its own."""
+
+    @functools.wraps(job)
+    def run(spark: SparkSession, *args, **kwargs):
+        with run_folder(spark):
+            return job(spark, *args, **kwargs)
+
+    return run
+
+
 def stage(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     """Write ``df`` once to the shared folder and read it back, with its row count.
 
@@ -78,7 +116,7 @@ def stage(df: DataFrame, label: str) -> tuple[DataFrame, int]:
     lost executor costs a re-read instead of the whole lineage.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/staged/{label}-{uuid.uuid4().hex}"
+    path = staged_path(spark, label)
     seen = Observation(f"staged-{uuid.uuid4().hex}")
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), seen.get["rows"]
@@ -96,7 +134,7 @@ def stage_bucketed(df: DataFrame, key: str, label: str, buckets: int) -> tuple[D
         df.repartition(buckets, key)
         .write.bucketBy(buckets, key)
         .sortBy(key)
-        .option("path", f"{shared_folder(spark)}/staged/{table}")
+        .option("path", staged_path(spark, table))
         .format("parquet")
         .saveAsTable(table)
     )
