@@ -44,9 +44,18 @@ class Index(NamedTuple):
     dimension: int
 
 
+def _data(column: pa.Array) -> np.ndarray:
+    """The bytes of a binary column without nulls, where Arrow holds them."""
+    if not len(column):
+        return np.zeros(0, np.uint8)
+    _, offsets, data = column.buffers()
+    places = np.frombuffer(offsets, np.int32)
+    return np.frombuffer(data, np.uint8)[places[column.offset] : places[column.offset + len(column)]]
+
+
 def _stack(column: pa.Array, kind: str) -> np.ndarray:
     """A binary column of equally long vectors as a matrix."""
-    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1).astype(np.float32)
+    return _data(column).view(kind).reshape(len(column), -1).astype(np.float32)
 
 
 def _lists(offsets: np.ndarray, values: np.ndarray) -> pa.Array:
@@ -183,29 +192,25 @@ def _merged(lists: DataFrame, k: int) -> DataFrame:
             ids = inner.values.to_numpy()
             sims = outer.values.field("sims").values.to_numpy()
             bounds = inner.offsets.to_numpy()[outer.offsets.to_numpy()]
-            owner = np.repeat(np.arange(batch.num_rows), np.diff(bounds))
-            # The same pair may differ in its last bit between blocks: the first one counts.
-            order = np.lexsort((ids, owner))
-            same = np.r_[False, (np.diff(ids[order]) == 0) & (np.diff(owner[order]) == 0)]
-            owner, ids, sims = (x[order[~same]] for x in (owner, ids, sims))
-            best = _best(owner, ids, sims, k)
-            offsets = np.r_[0, np.cumsum(np.bincount(owner[best], minlength=batch.num_rows))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), _lists(offsets, ids[best]), _lists(offsets, sims[best])],
-                schema=_EDGE_SCHEMA,
-            )
+            nodes = np.repeat(batch.column(0).to_numpy(), np.diff(bounds))
+            yield _best_lists(nodes, ids, sims, k)
 
     grouped = lists.groupBy("node").agg(F.collect_list(F.struct("ids", "sims")).alias("lists"))
     return grouped.mapInArrow(run, EDGES)
 
 
-def _listed(edges: DataFrame, k: int) -> DataFrame:
-    """Candidate edges as one list a node, of at most ``k``; limited before the shuffle too."""
-    distinct = edges.groupBy("node", "id").agg(F.max("sim").alias("sim"))
-    best = Window.partitionBy("node").orderBy(F.desc("sim"), "id")
-    kept = distinct.withColumn("_rank", F.row_number().over(best)).where(F.col("_rank") <= k)
-    listed = kept.groupBy("node").agg(F.collect_list(F.struct("id", "sim")).alias("e"))
-    return listed.select("node", F.col("e.id").alias("ids"), F.col("e.sim").alias("sims"))
+def _best_lists(nodes: np.ndarray, ids: np.ndarray, sims: np.ndarray, k: int) -> pa.RecordBatch:
+    """Edges as one list a node of its ``k`` best distinct ones."""
+    names, owner = np.unique(nodes, return_inverse=True)
+    # The same pair may differ in its last bit between blocks: the first one counts.
+    order = np.lexsort((ids, owner))
+    same = np.r_[False, (np.diff(ids[order]) == 0) & (np.diff(owner[order]) == 0)]
+    owner, ids, sims = (x[order[~same]] for x in (owner, ids, sims))
+    best = _best(owner, ids, sims, k)
+    offsets = np.r_[0, np.cumsum(np.bincount(owner[best], minlength=len(names)))]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(names), _lists(offsets, ids[best]), _lists(offsets, sims[best])], schema=_EDGE_SCHEMA
+    )
 
 
 def _backward(edges: DataFrame, most: int, seed: int) -> DataFrame:
@@ -246,22 +251,19 @@ def _improve(graph: DataFrame, nodes: DataFrame, k: int, join_size: int, seed: i
             ids = inner.field("id").to_numpy()
             worst_of = inner.field("worst").to_numpy(zero_copy_only=False)
             vectors = _stack(inner.field("half"), "<f2")
-            out: list[np.ndarray] = []
-            sims_out: list[np.ndarray] = []
+            members, others, sims_of = [], [], []
             for a, b in zip(offsets[:-1], offsets[1:]):
                 sims = vectors[a:b] @ vectors[a:b].T
                 np.fill_diagonal(sims, -np.inf)
                 rows, columns = np.nonzero(sims > worst_of[a:b, None])
-                out.append(np.stack([ids[a + rows], ids[a + columns]]))
-                sims_out.append(sims[rows, columns])
-            if out:
-                both = np.concatenate(out, axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(both[0]), pa.array(both[1]), pa.array(np.concatenate(sims_out))],
-                    names=["node", "id", "sim"],
-                )
+                members.append(ids[a + rows])
+                others.append(ids[a + columns])
+                sims_of.append(sims[rows, columns])
+            # What a batch found for a node is one list of its best, before anything is shuffled.
+            if sum(map(len, members)):
+                yield _best_lists(*map(np.concatenate, (members, others, sims_of)), k)
 
-    return groups.mapInArrow(local, "node long, id long, sim float")
+    return groups.mapInArrow(local, EDGES)
 
 
 def _links(graph: DataFrame, nodes: DataFrame, most: int, count: int) -> DataFrame:
@@ -281,13 +283,18 @@ def _links(graph: DataFrame, nodes: DataFrame, most: int, count: int) -> DataFra
         for batch in batches:
             lists = batch.column(1)
             offsets = lists.offsets.to_numpy()
-            halves = lists.values.field("half").to_pylist()
-            blobs = [b"".join(halves[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+            halves = lists.values.field("half")
+            # A list's vectors lie next to each other already.
+            width = len(_data(halves)) // max(1, len(halves))
+            blobs = pa.Array.from_buffers(
+                pa.binary(), len(lists),
+                [None, pa.py_buffer((offsets * width).astype(np.int32)), pa.py_buffer(_data(halves))],
+            )
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.ListArray.from_arrays(lists.offsets, lists.values.field("id")),
-                    pa.array(blobs, pa.binary()),
+                    blobs,
                 ],
                 names=["node", "ids", "vectors"],
             )
@@ -339,8 +346,8 @@ def build_index(
             lists = lists.unionByName(more)
     graph = written(_merged(lists, k), "graph")
     for seed in range(rounds if count > block else 0):
-        found = written(_improve(graph, nodes, k, join_size, seed), "candidates")
-        before, graph = graph, written(_merged(graph.unionByName(_listed(found, k)), k), "graph")
+        found = _improve(graph, nodes, k, join_size, seed)
+        before, graph = graph, written(_merged(graph.unionByName(found), k), "graph")
         kept = (
             graph.join(before.select("node", F.col("ids").alias("_before")), "node")
             .agg(F.sum(F.size(F.array_intersect("ids", "_before"))))
@@ -404,10 +411,10 @@ def search(
         for batch in batches:
             ids_out, sims_out = [], []
             ids_of = batch.column(2)
-            for asked, ids, blob in zip(batch.column(1).to_pylist(), ids_of, batch.column(3).to_pylist()):
+            for asked, ids, blob in zip(batch.column(1), ids_of, batch.column(3)):
                 ids = ids.values.to_numpy()
-                vectors = np.frombuffer(blob, "<f2").reshape(len(ids), -1)[:, :-1].astype(np.float32)
-                sims = vectors @ np.frombuffer(asked, "<f8").astype(np.float32)
+                vectors = np.frombuffer(blob.as_buffer(), "<f2").reshape(len(ids), -1)[:, :-1].astype(np.float32)
+                sims = vectors @ np.frombuffer(asked.as_buffer(), "<f8").astype(np.float32)
                 best = np.argsort(-sims, kind="stable")[: 2 * width]
                 ids_out.append(ids[best])
                 sims_out.append(sims[best])
@@ -456,10 +463,7 @@ def search(
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                a, b = (
-                    np.frombuffer(b"".join(batch.column(i).to_pylist()), "<f8").reshape(batch.num_rows, -1)
-                    for i in (2, 3)
-                )
+                a, b = (_data(batch.column(i)).view("<f8").reshape(batch.num_rows, -1) for i in (2, 3))
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns[:2], pa.array((a * b).sum(axis=1))], names=["query", "vec_id", "score"]
                 )
