@@ -113,7 +113,7 @@ def id_encoder(path: str, cache_entries: int = CACHE_ENTRIES) -> Callable[[list[
 
 
 PIECE_SCHEMA = (
-    "doc_id {kind}, piece int, start long, length int, ids_crc32 long, chunk int, nth long"
+    "doc_id {kind}, piece int, start long, length long, ids_crc32 long, chunk int, nth long"
 )
 
 
@@ -158,7 +158,7 @@ def cut_documents(
                 batch.column(0).take(pa.array(table[:, 0])),
                 pa.array(table[:, 1].astype(np.int32)),
                 pa.array(table[:, 2]),
-                pa.array(table[:, 3].astype(np.int32)),
+                pa.array(table[:, 3]),
                 pa.array(table[:, 4]),
                 pa.array(np.full(len(table), chunk, np.int32)),
                 pa.array(table[:, 5]),
