@@ -25,7 +25,7 @@ from threadlake.llm.components import components
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 CACHE_ENTRIES = 300_000
 SHORT = 64  # sets up to this size are kept whole, not only their prefix
-BINS = 32  # parts of the hash range that the suffix filter counts
+BINS = 128  # parts of the hash range that the suffix filter counts
 BROADCAST_ROWS = 2_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -91,9 +91,9 @@ def _set_id(shingles: np.ndarray) -> bytes:
 
 
 def _bins(shingles: np.ndarray) -> bytes:
-    """Counts of the set in equal parts of the hash range, as 16-bit numbers."""
-    counts = np.bincount((shingles >> np.uint64(58)).astype(np.int64), minlength=BINS)
-    return np.minimum(counts, 65535).astype("<u2").tobytes()
+    """Counts of the set in equal parts of the hash range, each up to 255."""
+    counts = np.bincount((shingles >> np.uint64(56)).astype(np.int64), minlength=BINS)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
 SET_SCHEMA = "doc_id {kind}, sid binary, n int, head array<long>, bins binary"
@@ -132,9 +132,17 @@ class Join:
     def __init__(self, df: DataFrame, rule: Similarity, id_column: str, text_column: str, common: int = 32):
         self.df, self.rule, self.common = df, rule, common
         self.id_column, self.text_column = id_column, text_column
-        self.docs = written(document_sets(df, rule, id_column, text_column), "sets")
-        one_each = self.docs.where("n > 0").select("sid", "doc_id", "n", "head", "bins").dropDuplicates(["sid"])
-        self.nodes = written(one_each.select(F.monotonically_increasing_id().alias("rid"), "*"), "nodes")
+        sets = document_sets(df, rule, id_column, text_column)
+        self.docs = written(sets.withColumn("rid", F.monotonically_increasing_id()), "sets")
+        # One row of each set is its node. The others are few or many; where their counted
+        # number is small, the sets need no shuffle to be freed of them.
+        own = self.docs.where("n > 0").select("sid", "rid")
+        first = own.groupBy("sid").agg(F.min("rid").alias("first"), F.count(F.lit(1)).alias("m"))
+        self.firsts = written(first, "firsts")
+        again = own.join(self.firsts.where("m > 1").select("sid", "first"), "sid").where("rid <> first").select("rid")
+        self.nodes = self.docs.where("n > 0").join(_sized(written(again, "copies")), "rid", "left_anti")
+        ids = self.docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("m"))
+        self.repeated_ids = not ids.where("m > 1").isEmpty()
 
     def counted(self) -> DataFrame:
         """``h, c``: shingles in the heads of two nodes or more, and of how many."""
@@ -147,11 +155,10 @@ class Join:
         wanted = written(
             rids.select("rid").distinct().join(self.nodes.select("rid", "sid", "doc_id"), "rid"), "wanted"
         )
-        few = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
         texts = self.df.select(
             F.col(self.id_column).alias("_doc"), text_or_empty(self.text_column).alias("text")
         )
-        rows = texts.join(few, F.col("_doc").eqNullSafe(F.col("doc_id"))).select("rid", "sid", "text")
+        rows = texts.join(_sized(wanted), F.col("_doc").eqNullSafe(F.col("doc_id"))).select("rid", "sid", "text")
         rule = self.rule
 
         def body():
@@ -171,16 +178,16 @@ class Join:
             return one
 
         found = map_columns(rows, "rid long, n int, shingles binary", body)
-        return written(found.dropDuplicates(["rid"]), "shingles")
+        return written(found.dropDuplicates(["rid"]) if self.repeated_ids else found, "shingles")
 
     def postings(self) -> DataFrame:
         """``h, rid, n, place``: prefix shingles that another node may share."""
         rule, common = self.rule, self.common
         counts = self.counted()
-        heads = self.nodes.select("rid", "n", F.posexplode("head").alias("pos", "h"))
-        shared = heads.join(counts, "h").groupBy("rid").agg(
-            F.first("n").alias("n"), F.collect_list(F.struct("pos", "h", "c")).alias("e")
-        )
+        sizes = self.nodes.select("rid", "n")
+        heads = self.nodes.select("rid", F.posexplode("head").alias("pos", "h"))
+        shared = heads.join(counts, "h").groupBy("rid").agg(F.collect_list(F.struct("pos", "h", "c")).alias("e"))
+        shared = shared.join(sizes, "rid")
 
         def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             """Places in the common order; -1 in ``place`` marks a node whose head is too short."""
@@ -216,7 +223,7 @@ class Join:
             return first.where("place >= 0").unionByName(more)
         hot = counts.where(F.col("c") > common).select("h", F.lit(True).alias("hot"))
         candidates = heads.where(F.col("h") >= least) if least > 0 else heads
-        met = candidates.join(lone, "h").join(short, "rid", "left_anti")
+        met = candidates.join(lone, "h").join(short, "rid", "left_anti").join(sizes, "rid")
         # Hot shingles before it move it forward.
         own = self.nodes.join(met.select("rid").distinct(), "rid").select("rid", F.posexplode("head").alias("p", "h"))
         before = own.join(hot, "h").groupBy("rid").agg(F.collect_list("p").alias("hot_at"))
@@ -236,26 +243,18 @@ class Join:
         rule, common = self.rule, self.common
         sets = self.sets_of(short)
 
-        def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for rid, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    h = np.frombuffer(blob, np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(h), rid)), pa.array(np.arange(len(h), dtype=np.int32)), pa.array(h)],
-                        names=["rid", "pos", "h"],
-                    )
-
-        rows = sets.select("rid", "shingles").mapInArrow(opened, "rid long, pos int, h long")
+        rows = sets.select("rid", "shingles").mapInArrow(_opened, "rid long, h long")
         hot = counts.where(F.col("c") > common)
-        late = rows.join(hot, "h").groupBy("rid").agg(F.collect_list(F.struct("pos", "c")).alias("e"))
+        late = rows.join(hot, "h").groupBy("rid").agg(F.collect_list(F.struct("h", "c")).alias("e"))
 
         def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for rid, n, blob, entries in zip(*(batch.column(i).to_pylist() for i in range(4))):
                     shingles = np.frombuffer(blob, np.int64)
                     weight = np.zeros(n, np.int64)
-                    for e in entries or []:
-                        weight[e["pos"]] = e["c"]
+                    if entries:
+                        at = np.searchsorted(shingles, [e["h"] for e in entries])
+                        weight[at] = [e["c"] for e in entries]
                     best = np.lexsort((np.arange(n), weight))[: rule.prefix(n)]
                     yield _rows([(int(shingles[p]), rid, n, i) for i, p in enumerate(best)])
 
@@ -263,14 +262,43 @@ class Join:
             sets.join(late, "rid", "left").select("rid", "n", "shingles", "e").mapInArrow(ordered, POSTING), "postings"
         )
 
+    def _rarest_first(self, rids: DataFrame) -> DataFrame:
+        """``h, rid, n, place``: prefixes in the order of exact counts among these nodes only.
+
+        Shingles that no other of the nodes has come first. Only those that are shared are
+        returned, with their places after them.
+        """
+        rule = self.rule
+        sets = self.sets_of(rids)
+        rows = sets.select("rid", "shingles").mapInArrow(_opened, "rid long, h long")
+        shared = rows.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+        entries = rows.join(shared, "h").groupBy("rid").agg(F.collect_list(F.struct("c", "h")).alias("e"))
+
+        def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out = []
+                for rid, n, entries in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                    alone = n - len(entries)
+                    found = sorted((e["c"], e["h"]) for e in entries)[: max(0, rule.prefix(n) - alone)]
+                    out += [(h, rid, n, place) for place, (_, h) in enumerate(found, alone)]
+                yield _rows(out)
+
+        ordered_rows = entries.join(sets.select("rid", "n"), "rid").select("rid", "n", "e")
+        return written(ordered_rows.mapInArrow(ordered, POSTING), "postings")
+
     def _filtered(self, pairs: DataFrame) -> DataFrame:
-        """Length and positional filter; pairs once each, the smaller node first."""
+        """Length and positional filter; pairs once each, the smaller node first.
+
+        From its first common shingle on, at ``place``, a node can share no more than what is
+        left of its set. The first common shingle of a pair passes if the pair is similar enough,
+        so a pair that fails in one list still stands in that one.
+        """
         small, large = F.least("n", "n2"), F.greatest("n", "n2")
         # Common shingles that a pair needs: percent / (100 + percent) of both sizes.
         need = self.rule.percent * (F.col("n") + F.col("n2"))
-        ahead = F.least("place", "place2") + 1 + F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2")) - 1
+        most = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
         kept = pairs.where(
-            (small * 100 >= large * self.rule.percent) & (ahead * (100 + self.rule.percent) >= need)
+            (small * 100 >= large * self.rule.percent) & (most * (100 + self.rule.percent) >= need)
         )
         return kept.select(F.least("rid", "rid2").alias("a"), F.greatest("rid", "rid2").alias("b")).distinct()
 
@@ -283,13 +311,13 @@ class Join:
             for batch in batches:
                 if batch.num_rows:
                     x, y = (
-                        np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, BINS).astype(np.int64)
+                        np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BINS).astype(np.int64)
                         for i in (2, 3)
                     )
                     both = np.minimum(x, y).sum(axis=1)
                     sizes = batch.column(4).to_numpy().astype(np.int64) + batch.column(5).to_numpy()
-                    # Bins stop counting at 65535, where the filter no longer binds.
-                    full = (x.max(axis=1) == 65535) | (y.max(axis=1) == 65535)
+                    # Bins stop counting at 255, where the filter no longer binds.
+                    full = (x.max(axis=1) == 255) | (y.max(axis=1) == 255)
                     keep = full | (both * (100 + percent) >= percent * sizes)
                     yield pa.RecordBatch.from_arrays(
                         [c.filter(pa.array(keep)) for c in batch.columns[:2]], names=["a", "b"]
@@ -318,17 +346,28 @@ class Join:
         rows = likely.join(x, "a").join(y, "b").select("a", "b", "x", "y")
         return written(rows.mapInArrow(compare, "a long, b long"), label)
 
-    def links(self, pivot_rounds: int = 3) -> DataFrame:
+    def links(self, pivot_rounds: int = 2) -> DataFrame:
         """Links (a, b) between nodes that make the same classes as all links do."""
-        postings = self.postings()
-        sizes = postings.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-        sized = written(postings.join(sizes, "h"), "lists")
-        few = sized.where(F.col("m") <= self.common).drop("m")
-        many = sized.where(F.col("m") > self.common).drop("m")
-        other = _second(few)
-        pairs = self._filtered(few.join(other, "h").where("rid < rid2"))
+
+        def lists_of(postings: DataFrame) -> DataFrame:
+            sizes = postings.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+            return written(postings.join(sizes, "h"), "lists")
+
+        def all_pairs(lists: DataFrame) -> DataFrame:
+            few = lists.where(F.col("m") <= self.common).drop("m")
+            return self._filtered(few.join(_second(few), "h").where("rid < rid2"))
+
+        lists = lists_of(self.postings())
+        pairs = all_pairs(lists)
+        # What stands in a long list is put in the exact order of rarity among its like.
+        crowd = lists.where(F.col("m") > self.common).select("rid").distinct()
+        many = None
+        if not crowd.isEmpty():
+            lists = lists_of(self._rarest_first(crowd))
+            pairs = pairs.unionByName(all_pairs(lists)).distinct()
+            many = lists.where(F.col("m") > self.common).drop("m")
         links = self.verified(written(pairs, "pairs"), "links")
-        if many.isEmpty():
+        if many is None or many.isEmpty():
             return links
         labels = components(links)
         for step in range(pivot_rounds + 1):
@@ -356,6 +395,19 @@ class Join:
         return links
 
 
+def _sized(rows: DataFrame) -> DataFrame:
+    """``rows`` of a written table, to be broadcast if their counted number is small."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``rid, h``: a row for each shingle of each set."""
+    for batch in batches:
+        for rid, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            h = np.frombuffer(blob, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), rid)), pa.array(h)], names=["rid", "h"])
+
+
 POSTING = "h long, rid long, n int, place int"
 _POSTING_SCHEMA = pa.schema([("h", pa.int64()), ("rid", pa.int64()), ("n", pa.int32()), ("place", pa.int32())])
 
@@ -389,9 +441,13 @@ def similar_classes(
     """
     join = Join(df, Similarity(words, percent), id_column, text_column, common)
     labels = components(join.links())
-    nodes = join.nodes.select("rid", "sid").join(labels.withColumnRenamed("node", "rid"), "rid", "left")
     owners = join.docs.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("least"))
-    named = nodes.select("sid", F.coalesce("label", "rid").alias("label")).join(owners, "sid")
+    nodes = join.firsts.select("sid", F.col("first").alias("rid"))
+    named = (
+        nodes.join(labels.withColumnRenamed("node", "rid"), "rid", "left")
+        .select("sid", F.coalesce("label", "rid").alias("label"))
+        .join(owners, "sid")
+    )
     smallest = named.groupBy("label").agg(F.min("least").alias("component_id"))
     classes = named.select("sid", "label").join(smallest, "label").select("sid", "component_id")
     docs = join.docs.select("doc_id", "n", "sid")
@@ -413,16 +469,12 @@ def keep_one(df: DataFrame, classes: DataFrame, id_column: str = "doc_id", text_
     ids = written(
         classes.groupBy("doc_id").agg(F.max(own).alias("own"), F.count(F.lit(1)).alias("rows")), "ids"
     )
-
-    def sized(rows: DataFrame) -> DataFrame:
-        return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
-
     gone = ids.where("NOT own").select(F.col("doc_id").alias("_gone"))
-    kept = df.join(sized(gone), F.col(id_column).eqNullSafe(F.col("_gone")), "left_anti")
+    kept = df.join(_sized(gone), F.col(id_column).eqNullSafe(F.col("_gone")), "left_anti")
     again = ids.where("own AND rows > 1").select(F.col("doc_id").alias("_again"))
     if again.isEmpty():
         return kept
-    again = sized(again)
+    again = _sized(again)
     same = F.col(id_column).eqNullSafe(F.col("_again"))
     single = kept.join(again, same, "left_anti")
     return single.unionByName(kept.join(again, same, "left_semi").dropDuplicates([id_column, text_column]))
