@@ -42,6 +42,28 @@ def test_graph_search_finds_the_nearest(spark):
     assert hits / (10 * len(found)) >= 0.9
 
 
+def test_one_vector_of_a_far_larger_norm(spark):
+    rows = random_rows(900)
+    rows[7] = (7, (np.float32(rows[7][1]) * 10_000).tolist(), 1)
+    got = nearest_of_rows(frame(spark, rows), every=20, k=10, block=64, starts=3, rounds=3).collect()
+    vectors = [(i, v) for i, v, _ in rows]
+    queries = {r.query_id for r in got}
+    found = {(r.query_id, r.vec_id) for r in got}
+    want = {(q, i) for q in queries for _, i, _ in brute(vectors, rows[q][1], 10, q)}
+    assert len(found & want) / len(want) >= 0.9
+    # In the graph itself, near rows stay near.
+    graph = build_index(frame(spark, rows), block=64, starts=3, rounds=3, k=10)
+    names = {r.node: r.vec_id for r in graph.nodes.select("node", "vec_id").collect()}
+    plain = np.array([v for _, v in vectors])
+    hits = 0
+    for r in graph.graph.collect():
+        own = names[r.node]
+        away = ((plain - plain[own]) ** 2).sum(axis=1)
+        away[own] = np.inf
+        hits += own != 7 and len({names[i] for i in r.ids} & set(np.argsort(away)[:10].tolist()))
+    assert hits / (10 * 899) >= 0.8
+
+
 def test_small_tables_are_exact_with_ties_and_odd_rows(spark):
     good = [(i, v, 0) for i, v, _ in random_rows(30, 4)]
     good += [(40, [1.0, 1.0, 0.0, 0.0], 0), (60, [1.0, 1.0, 0.0, 0.0], 0), (60, [1.0, 1.0, 0.0, 0.0], 0), (None, [5.0, 0.0, 0.0, 0.0], 0)]

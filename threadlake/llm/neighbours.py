@@ -5,7 +5,8 @@ all norms equal, so that near in the graph means a large product for any query.
 starts from blocks of rows that share their nearest anchors and is improved by joins
 of neighbours of neighbours until few edges change. A search starts at the best anchors (and
 at the query's own row, if it is in the index) and follows edges from the best
-nodes found so far. Half-precision vectors choose edges; results are scored exactly.
+nodes found so far. Vectors with a half-precision direction choose edges; results are
+scored exactly.
 The searchable form of the graph is a table bucketed by node that holds each node's
 neighbours with their vectors, so that a step of a search shuffles the followed nodes only.
 """
@@ -32,7 +33,8 @@ _EDGE_SCHEMA = pa.schema(
 
 
 class Index(NamedTuple):
-    """``nodes``: node, vec_id, vec (original), half (extended, half precision);
+    """``nodes``: node, vec_id, vec (original), half (direction in half
+    precision and share of the largest norm), norm;
     ``graph``: node, ids, sims; ``links``: node, ids, vectors of its neighbours in both
     directions, bucketed by node; and the anchors' nodes and extended vectors."""
 
@@ -58,6 +60,24 @@ def _stack(column: pa.Array, kind: str) -> np.ndarray:
     return _data(column).view(kind).reshape(len(column), -1).astype(np.float32)
 
 
+def _vectors(column: pa.Array) -> np.ndarray:
+    """Rows ``[x, d]`` of a binary column that ``prepare`` made.
+
+    ``x`` is the vector divided by the largest norm, ``1 - d`` the component that makes its
+    norm 1. Kept as ``d``, it leaves the digits of ``x`` alone however small ``x`` is.
+    """
+    raw = _data(column).reshape(len(column), -1)
+    unit, norm = (np.ascontiguousarray(part).view(kind) for part, kind in ((raw[:, :-8], "<f2"), (raw[:, -8:], "<f8")))
+    x = unit.astype(np.float64) * norm
+    square = np.minimum(1, (x * x).sum(axis=1, keepdims=True))
+    return np.c_[x, square / (1 + np.sqrt(1 - square))].astype(np.float32)
+
+
+def _nearness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products, less 1, of vectors whose norms the added components make equal."""
+    return a @ b.T - a[:, -1:] - b[:, -1]
+
+
 def _lists(offsets: np.ndarray, values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values))
 
@@ -92,19 +112,22 @@ def prepare(df: DataFrame, id_column: str, vector_column: str) -> tuple[DataFram
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw = np.asarray(batch.column(1).flatten()).reshape(-1, dimension)
-            rest = np.sqrt(np.maximum(0, largest**2 - (raw * raw).sum(axis=1)))
-            half = (np.c_[raw, rest] / largest).astype("<f2")
+            # Each row is scaled by itself: one row with a huge norm takes no digits from others.
+            top = np.abs(raw).max(axis=1, keepdims=True)
+            norm = top * np.sqrt(((raw / top) ** 2).sum(axis=1, keepdims=True))
+            half, share = (raw / norm).astype("<f2"), (norm / largest).astype("<f8")
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     pa.array([row.tobytes() for row in raw.astype("<f8")], pa.binary()),
-                    pa.array([row.tobytes() for row in half], pa.binary()),
+                    pa.array([a.tobytes() + b.tobytes() for a, b in zip(half, share)], pa.binary()),
+                    pa.array(norm[:, 0]),
                 ],
-                names=["vec_id", "vec", "half"],
+                names=["vec_id", "vec", "half", "norm"],
             )
 
-    chosen = rows.where(F.size("vec") == dimension).mapInArrow(extend, "vec_id long, vec binary, half binary")
-    nodes = chosen.select(F.monotonically_increasing_id().alias("node"), "vec_id", "vec", "half")
+    chosen = rows.where(F.size("vec") == dimension).mapInArrow(extend, "vec_id long, vec binary, half binary, norm double")
+    nodes = chosen.select(F.monotonically_increasing_id().alias("node"), "vec_id", "vec", "half", "norm")
     return written(nodes, "nodes"), dimension, largest
 
 
@@ -121,7 +144,7 @@ def _block_edges(nodes: np.ndarray, vectors: np.ndarray, k: int, rows: int = 512
     """The ``k`` nearest of each row within its block, some rows at a time."""
     k = min(k, len(nodes) - 1)
     for at in range(0, len(nodes) if k else 0, rows):
-        sims = vectors[at : at + rows] @ vectors.T
+        sims = _nearness(vectors[at : at + rows], vectors)
         here = np.arange(len(sims))
         sims[here, at + here] = -np.inf
         top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
@@ -145,7 +168,7 @@ def _start(nodes: DataFrame, anchors: np.ndarray, k: int, block: int, partitions
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sims = _stack(batch.column(1), "<f2") @ anchors.T
+            sims = _nearness(_vectors(batch.column(1)), anchors)
             first = sims.argmax(axis=1)
             near = sims[np.arange(len(sims)), first].copy()
             sims[np.arange(len(sims)), first] = -np.inf
@@ -160,7 +183,7 @@ def _start(nodes: DataFrame, anchors: np.ndarray, k: int, block: int, partitions
             if not batch.num_rows:
                 continue
             ids = np.r_[ids, batch.column(0).to_numpy()]
-            more = _stack(batch.column(1), "<f2")
+            more = _vectors(batch.column(1))
             vectors = more if vectors is None else np.r_[vectors, more]
             # The last block of a task is between one and two blocks long, never shorter.
             while len(ids) >= 2 * block:
@@ -231,7 +254,7 @@ def _improve(graph: DataFrame, nodes: DataFrame, k: int, join_size: int, seed: i
     limit = F.element_at("sims", -1)
     worst = graph.select(
         F.col("node").alias("id"),
-        F.when(F.size("ids") >= k, limit).otherwise(F.lit(-2.0)).cast("float").alias("worst"),
+        F.when(F.size("ids") >= k, limit).otherwise(F.lit(-3.0)).cast("float").alias("worst"),
     )
     share = F.pmod(F.xxhash64("node", "id", F.lit(seed)), F.lit(1024)) < 1024 * join_size // k
     pairs = edges.where(share).unionByName(_backward(edges, join_size, seed)).distinct()
@@ -250,10 +273,10 @@ def _improve(graph: DataFrame, nodes: DataFrame, k: int, join_size: int, seed: i
             inner = lists.values
             ids = inner.field("id").to_numpy()
             worst_of = inner.field("worst").to_numpy(zero_copy_only=False)
-            vectors = _stack(inner.field("half"), "<f2")
+            vectors = _vectors(inner.field("half"))
             members, others, sims_of = [], [], []
             for a, b in zip(offsets[:-1], offsets[1:]):
-                sims = vectors[a:b] @ vectors[a:b].T
+                sims = _nearness(vectors[a:b], vectors[a:b])
                 np.fill_diagonal(sims, -np.inf)
                 rows, columns = np.nonzero(sims > worst_of[a:b, None])
                 members.append(ids[a + rows])
@@ -334,7 +357,7 @@ def build_index(
     count = nodes.count()
     sampled = nodes.orderBy(F.xxhash64("node"), "node").limit(ANCHORS * starts).select("node", "half").collect()
     anchor_nodes = np.array([r["node"] for r in sampled], np.int64)
-    anchors = np.stack([np.frombuffer(r["half"], "<f2").astype(np.float32) for r in sampled])
+    anchors = _vectors(pa.array([bytes(r["half"]) for r in sampled], pa.binary()))
     default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if count <= block:  # one block is the exact graph
         lists = _start(nodes, np.r_[anchors[:2], anchors[:2]], k, block, 1)
@@ -355,7 +378,12 @@ def build_index(
         )
         if kept > (1 - changed) * k * count:
             break
-    return Index(nodes, graph, _links(graph, nodes, k, count), anchor_nodes, anchors, dimension)
+    # Rows of the largest norms are far from all others in the graph, and often the nearest.
+    longest = nodes.orderBy(F.desc("norm"), "node").limit(ANCHORS).select("node", "half").collect()
+    first = {int(n): v for n, v in zip(anchor_nodes, anchors)}
+    first |= dict(zip((r["node"] for r in longest), _vectors(pa.array([bytes(r["half"]) for r in longest], pa.binary()))))
+    links = _links(graph, nodes, k, count)
+    return Index(nodes, graph, links, np.array(list(first), np.int64), np.stack(list(first.values())), dimension)
 
 
 STATE = "query long, asked binary, ids array<long>, sims array<float>, followed array<boolean>, now array<long>"
@@ -413,8 +441,10 @@ def search(
             ids_of = batch.column(2)
             for asked, ids, blob in zip(batch.column(1), ids_of, batch.column(3)):
                 ids = ids.values.to_numpy()
-                vectors = np.frombuffer(blob.as_buffer(), "<f2").reshape(len(ids), -1)[:, :-1].astype(np.float32)
-                sims = vectors @ np.frombuffer(asked.as_buffer(), "<f8").astype(np.float32)
+                width_of = len(blob.as_buffer()) // max(1, len(ids))
+                offsets = np.arange(len(ids) + 1, dtype=np.int32) * width_of
+                column = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), blob.as_buffer()])
+                sims = _vectors(column)[:, :-1] @ np.frombuffer(asked.as_buffer(), "<f8").astype(np.float32)
                 best = np.argsort(-sims, kind="stable")[: 2 * width]
                 ids_out.append(ids[best])
                 sims_out.append(sims[best])
