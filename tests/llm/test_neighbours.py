@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from threadlake.llm import neighbours
 from threadlake.llm.neighbours import build_index, nearest_of_rows, search
 
 
@@ -42,6 +43,27 @@ def test_graph_search_finds_the_nearest(spark):
     assert hits / (10 * len(found)) >= 0.9
 
 
+def test_descent_does_the_work_at_small_sizes_too(spark, monkeypatch):
+    rounds, improve = [], neighbours._improve
+    monkeypatch.setattr(neighbours, "_improve", lambda *a: rounds.append(a) or improve(*a))
+    rows = random_rows(900)
+    index = build_index(frame(spark, rows), rounds=2)
+    names = {r.node: r.vec_id for r in index.nodes.select("node", "vec_id").collect()}
+    plain = np.array([v for _, v, _ in rows])
+
+    def recall(graph):
+        hits = 0
+        for r in graph.select("node", "ids").collect():
+            away = ((plain - plain[names[r.node]]) ** 2).sum(axis=1)
+            away[names[r.node]] = np.inf
+            hits += len({names[i] for i in r.ids[:10]} & set(np.argsort(away)[:10].tolist()))
+        return hits / (10 * len(rows))
+
+    assert len(rounds) == 2
+    assert recall(rounds[0][0]) < recall(index.graph)
+    assert recall(index.graph) >= 0.9
+
+
 def test_one_vector_of_a_far_larger_norm(spark):
     rows = random_rows(900)
     rows[7] = (7, (np.float32(rows[7][1]) * 10_000).tolist(), 1)

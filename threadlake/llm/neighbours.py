@@ -340,9 +340,9 @@ def build_index(
     vector_column: str = "embedding",
     k: int = 32,
     starts: int = 6,
-    rounds: int = 3,
+    rounds: int = 12,
     join_size: int = 16,
-    block: int = 4096,
+    block: int = 256,
     changed: float = 0.02,
 ) -> Index | None:
     """The neighbour graph of all rows that take part; None if there are none.
@@ -359,24 +359,21 @@ def build_index(
     anchor_nodes = np.array([r["node"] for r in sampled], np.int64)
     anchors = _vectors(pa.array([bytes(r["half"]) for r in sampled], pa.binary()))
     default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if count <= block:  # one block is the exact graph
-        lists = _start(nodes, np.r_[anchors[:2], anchors[:2]], k, block, 1)
-    else:
-        partitions = max(1, min(default, count // block))
-        begun = [_start(nodes, anchors[i::starts], k, block, partitions) for i in range(starts)]
-        lists = begun[0]
-        for more in begun[1:]:
-            lists = lists.unionByName(more)
+    partitions = max(1, min(default, count // block))
+    begun = [_start(nodes, anchors[i % len(anchors) :: starts], k, block, partitions) for i in range(starts)]
+    lists = begun[0]
+    for more in begun[1:]:
+        lists = lists.unionByName(more)
     graph = written(_merged(lists, k), "graph")
-    for seed in range(rounds if count > block else 0):
+    for seed in range(rounds):
         found = _improve(graph, nodes, k, join_size, seed)
         before, graph = graph, written(_merged(graph.unionByName(found), k), "graph")
-        kept = (
-            graph.join(before.select("node", F.col("ids").alias("_before")), "node")
-            .agg(F.sum(F.size(F.array_intersect("ids", "_before"))))
-            .first()[0]
+        kept, edges = (
+            graph.join(before.select("node", F.col("ids").alias("_before")), "node", "left")
+            .agg(F.sum(F.size(F.array_intersect("ids", F.coalesce("_before", F.array())))), F.sum(F.size("ids")))
+            .first()
         )
-        if kept > (1 - changed) * k * count:
+        if not edges or kept > (1 - changed) * edges:
             break
     # Rows of the largest norms are far from all others in the graph, and often the nearest.
     longest = nodes.orderBy(F.desc("norm"), "node").limit(ANCHORS).select("node", "half").collect()
