@@ -2,7 +2,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from threadlake.llm import quality
 from threadlake.llm.quality import co_train, fit_quality, keep_good, score_documents
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score string"
@@ -62,6 +64,29 @@ def test_views_teach_each_other():
     assert ((taught.scores(text, meta)[2] > 0.5) == truth).mean() > 0.98
 
 
+def test_all_unlabelled_rows_take_part(spark, corpus, monkeypatch):
+    """Every unlabelled row is seen in each round, repeated and null ids too."""
+    df, labels = corpus
+    marks = spark.createDataFrame(labels[:120], "doc_id long, quality int")
+    seen, train = [], quality.co_train
+
+    def watched(text, meta, marked, **rest):
+        total = rest.get("total")
+        seen.append(total(lambda views, luck: np.array([float(len(luck))]))[0] if total else (marked < 0).sum())
+        return train(text, meta, marked, **rest)
+
+    monkeypatch.setattr(quality, "co_train", watched)
+    more = df.where("doc_id > 380").withColumn("doc_id", F.lit(None).cast("long"))
+    copies = df.where("doc_id > 390")
+    unlabelled = 280 + 19 + 9
+    many = df.union(more).union(copies)
+    for _ in range(4):
+        many, unlabelled = many.union(copies.crossJoin(spark.range(125)).drop("id")), unlabelled + 9 * 125
+    model = fit_quality(many, marks)
+    assert seen == [unlabelled]
+    assert model is not None
+
+
 def test_odd_rows_and_no_labels(spark, corpus):
     df, labels = corpus
     odd = spark.createDataFrame(

@@ -9,7 +9,7 @@ combined model scores every document.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -124,6 +124,96 @@ class Model(NamedTuple):
         return (*map(_sigmoid, views), _sigmoid(self.mix.logit(np.stack(views, axis=1))))
 
 
+def _newton(z: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over rows of the gradient and the Hessian of the logistic loss."""
+    p = _sigmoid(z @ w)
+    return z.T @ (p - y), (z * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ z
+
+
+def _standard(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.c_[np.clip((x - mean) / scale, -8, 8), np.ones(len(x))].astype(np.float64)
+
+
+class Handed(NamedTuple):
+    """What a view hands over in a round: rows of a certainty above ``bin``, and the ``share`` of that bin."""
+
+    model: Logistic
+    bin: int
+    share: float
+
+
+_BINS, _WIDEST = 4096, 64.0
+
+
+def _bins(logits: np.ndarray) -> np.ndarray:
+    return np.minimum(np.abs(logits) * (_BINS / _WIDEST), _BINS - 1).astype(np.int64)
+
+
+def _lessons(views: Views, luck: np.ndarray, history: list[tuple[Handed, Handed]]) -> list[np.ndarray]:
+    """Pseudo-labels each view has got from the other in all rounds so far, -1 where none."""
+    lessons = [np.full(len(luck), -1), np.full(len(luck), -1)]
+    for pair in history:
+        for view, handed in enumerate(pair):
+            logits, other = handed.model.logit(views[view]), lessons[1 - view]
+            bins = _bins(logits)
+            given = (other < 0) & ((bins > handed.bin) | ((bins == handed.bin) & (luck < handed.share)))
+            other[given] = logits[given] >= 0
+    return lessons
+
+
+Views = tuple[np.ndarray, np.ndarray]
+# Sums a function of (views, luck) over all unlabelled rows.
+Total = Callable[[Callable[[Views, np.ndarray], np.ndarray]], np.ndarray]
+
+
+def _fit_views(own: Views, y: np.ndarray, history: list, total: Total | None, ridge: float = 1.0, steps: int = 12) -> list[Logistic]:
+    """Both views fitted on the labelled rows and all pseudo-labels, by sums over all rows."""
+    if not history or total is None:
+        return [fit_logistic(x, y) for x in own]
+    sizes = [x.shape[1] for x in own]
+
+    def moments_of(x: np.ndarray) -> np.ndarray:
+        x = x.astype(np.float64)
+        return np.concatenate([[len(x)], x.sum(axis=0), (x * x).sum(axis=0)])
+
+    def moments(views: Views, luck: np.ndarray) -> np.ndarray:
+        return np.concatenate([moments_of(x[lesson >= 0]) for x, lesson in zip(views, _lessons(views, luck, history))])
+
+    sums = total(moments) + np.concatenate([moments_of(x) for x in own])
+    scaled = []
+    for part, n in zip(np.split(sums, [2 * sizes[0] + 1]), sizes):
+        mean = part[1 : n + 1] / part[0]
+        scale = np.sqrt(np.maximum(part[n + 1 :] / part[0] - mean * mean, 0))
+        scaled.append((mean, np.where(scale > 1e-6, scale, 1.0)))
+    weights = [np.zeros(n + 1) for n in sizes]
+    for _ in range(steps):
+        now = list(weights)
+
+        def slopes(views: Views, luck: np.ndarray) -> np.ndarray:
+            parts = []
+            for x, lesson, at, w in zip(views, _lessons(views, luck, history), scaled, now):
+                rows = lesson >= 0
+                gradient, hessian = _newton(_standard(x[rows], *at), lesson[rows], w)
+                parts += [gradient, hessian.ravel()]
+            return np.concatenate(parts)
+
+        sums, place, largest = total(slopes), 0, 0.0
+        for view, (x, at, n) in enumerate(zip(own, scaled, sizes)):
+            w, m = weights[view], n + 1
+            gradient, hessian = _newton(_standard(x, *at), y, w)
+            gradient = gradient + sums[place : place + m]
+            hessian = hessian + sums[place + m : place + m + m * m].reshape(m, m)
+            place += m + m * m
+            penalty = np.full(m, ridge)
+            penalty[-1] = 1e-6
+            change = np.linalg.solve(hessian + np.diag(penalty), gradient + penalty * w)
+            weights[view] = w - change
+            largest = max(largest, np.abs(change).max())
+        if largest < 1e-3:
+            break
+    return [Logistic(*at, w) for at, w in zip(scaled, weights)]
+
+
 def co_train(
     text: np.ndarray,
     meta: np.ndarray,
@@ -132,47 +222,95 @@ def co_train(
     sure: float = 0.98,
     share: float = 0.2,
     seed: int = 7,
+    total: Total | None = None,
 ) -> Model | None:
     """``labels``: 1, 0, or -1 where there is none. None without both kinds of labels.
 
     A third of the labelled rows is kept aside to calibrate and to mix the views.
     In a round a view hands over at most ``share`` of the pool, its surest rows, and none
-    it is less than ``sure`` of.
+    it is less than ``sure`` of. ``total`` sums over the pool where it lies elsewhere; else the
+    pool is the rows without a label. A pseudo-label follows from the models of the rounds so
+    far, so the pool's rows are read in each pass and never gathered.
     """
     order = np.random.default_rng(seed).permutation(len(labels))
     known, pool = order[labels[order] >= 0], order[labels[order] < 0]
     aside, own = known[: len(known) // 3], known[len(known) // 3 :]
     if any(len(set(labels[rows].tolist())) < 2 for rows in (own, aside)):
         return None
-    views, lessons = (text, meta), [np.full(len(labels), -1), np.full(len(labels), -1)]
-    for lesson in lessons:
-        lesson[own] = labels[own]
-
-    def fit(view: int) -> Logistic:
-        rows = np.flatnonzero(lessons[view] >= 0)
-        return fit_logistic(views[view][rows], lessons[view][rows].astype(float))
-
+    if total is None:
+        here = (text[pool], meta[pool]), (np.arange(len(pool)) + 0.5) / max(1, len(pool))
+        total = lambda function: function(*here)
+    mine, y = (text[own], meta[own]), labels[own].astype(float)
+    history: list[tuple[Handed, Handed]] = []
+    models = _fit_views(mine, y, history, total)
+    least = int(np.ceil(np.log(sure / (1 - sure)) * _BINS / _WIDEST))
     for _ in range(rounds):
-        handed = []
-        for view in (0, 1):
-            model, other = fit(view), lessons[1 - view]
-            open_ = pool[other[pool] < 0]
-            p = _sigmoid(model.logit(views[view][open_]))
-            certain = np.maximum(p, 1 - p)
-            rows = np.argsort(-certain, kind="stable")[: int(share * len(pool))]
-            rows = rows[certain[rows] >= sure]
-            handed.append((open_[rows], (p[rows] >= 0.5).astype(int)))
-        for view, (rows, guess) in enumerate(handed):
-            lessons[1 - view][rows] = guess
-        if not any(len(rows) for rows, _ in handed):
+        fitted = list(models)
+
+        def certainty(views: Views, luck: np.ndarray) -> np.ndarray:
+            lessons, counts = _lessons(views, luck, history), [[len(luck)]]
+            for view, model in enumerate(fitted):
+                logits = model.logit(views[view][lessons[1 - view] < 0])
+                counts.append(np.bincount(_bins(logits), minlength=_BINS))
+            return np.concatenate(counts).astype(np.float64)
+
+        counts = total(certainty)
+        handed, any_ = [], False
+        for model, bins in zip(fitted, np.split(counts[1:], 2)):
+            above = np.r_[np.cumsum(bins[::-1])[::-1], 0]
+            # The surest bins that fit as a whole, and a part of the next one.
+            whole = max(least, int(np.argmax(above <= share * counts[0])))
+            part = (share * counts[0] - above[whole]) / bins[whole - 1] if whole > least and bins[whole - 1] else 0.0
+            handed.append(Handed(model, whole - 1, float(part)))
+            any_ |= above[whole] > 0 or part > 0
+        if not any_:
             break
-    models = [fit(0), fit(1)]
+        history = [*history, tuple(handed)]
+        models = _fit_views(mine, y, history, total)
+    views = (text, meta)
     y = labels[aside].astype(float)
     scales = [fit_logistic(m.logit(v[aside])[:, None], y) for m, v in zip(models, views)]
     both = np.stack([s.logit(m.logit(v[aside])[:, None]) for s, m, v in zip(scales, models, views)], axis=1)
     return Model(*models, *scales, fit_logistic(both, y))
 
 
+def _total_over(pool: DataFrame, width: int) -> Total:
+    """Sums over the rows of ``pool`` (text features and metadata), added up in two steps."""
+
+    def total(function: Callable[[Views, np.ndarray], np.ndarray]) -> np.ndarray:
+        def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = None
+            for batch in batches:
+                for at in range(0, batch.num_rows, 2000):
+                    part = batch.slice(at, 2000)
+                    blobs = part.column(0).to_pylist()
+                    text = np.stack([np.frombuffer(b, np.float32) for b in blobs])
+                    rest = (part.column(i).to_pylist() for i in (1, 2, 3))
+                    meta = np.stack([meta_features(*row) for row in zip(*rest)])
+                    luck = np.array([zlib.crc32(b) / 2**32 for b in blobs])
+                    more = function((text, meta), luck)
+                    found = more if found is None else found + more
+            if found is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary())], names=["sums"])
+
+        def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found = None
+            for batch in batches:
+                for blob in batch.column(0):
+                    more = np.frombuffer(blob.as_py(), np.float64)
+                    found = more if found is None else found + more
+            if found is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary())], names=["sums"])
+
+        parts = pool.mapInArrow(each, "sums binary").repartition(8).mapInArrow(together, "sums binary").collect()
+        if not parts:
+            nothing = tuple(np.zeros((0, n), np.float32) for n in (width, 2 * META_BUCKETS + 3))
+            return function(nothing, np.zeros(0))
+        return np.sum([np.frombuffer(row[0], np.float64) for row in parts], axis=0)
+
+    return total
+
+
 def _features(df: DataFrame, id_column: str, columns: tuple[str, str, str, str]) -> DataFrame:
     """Text and metadata of rows, cast and without nulls in the text."""
     text, lang, source, chars = columns
@@ -199,14 +337,13 @@ def fit_quality(
     df: DataFrame,
     labels: DataFrame,
     fit_rows: int = 9000,
-    pool_rows: int = 4000,
     id_column: str = "doc_id",
     label_column: str = "quality",
     columns: tuple[str, str, str, str] = COLUMNS,
 ) -> Model | None:
-    """The model, fitted on at most ``fit_rows`` labelled and ``pool_rows`` other documents.
+    """The model, fitted on at most ``fit_rows`` labelled and all unlabelled documents.
 
-    Both samples are taken by a hash of the id. A document with labels of both kinds or
+    The labelled sample is taken by a hash of the id. A document with labels of both kinds or
     none is unlabelled; labels without a document are not used.
     """
     marks = (
@@ -217,33 +354,31 @@ def fit_quality(
         .where("low = high")
         .select("doc_id", F.col("low").alias("y"))
     )
-    ids = df.select(F.col(id_column).alias("doc_id")).where("doc_id IS NOT NULL").join(marks, "doc_id", "left")
+    marks = written(marks, "marks")
     order = F.xxhash64(F.col("doc_id"), F.lit(11))
-    known = ids.where("y IS NOT NULL").orderBy(order, "doc_id").limit(fit_rows)
-    other = ids.where("y IS NULL").orderBy(order, "doc_id").limit(pool_rows)
-    sample = written(known.unionByName(other).distinct(), "sample")
+    known = df.select(F.col(id_column).alias("doc_id")).join(marks, "doc_id").distinct()
+    sample = written(known.orderBy(order, "doc_id").limit(fit_rows), "sample")
+    kind = df.schema[id_column].dataType.simpleString()
 
     def body():
         def one(batch: pa.RecordBatch) -> list:
-            text, meta = _matrices(batch, 2)
-            return [
-                batch.column(0), batch.column(1),
-                pa.array([row.tobytes() for row in text], pa.binary()),
-                pa.array([row.tobytes() for row in meta], pa.binary()),
-            ]
+            text = [text_features(t.as_py()).tobytes() for t in batch.column(1)]
+            return [batch.column(0), pa.array(text, pa.binary()), *batch.columns[2:5]]
 
         return one
 
-    kind = df.schema[id_column].dataType.simpleString()
-    rows = _features(df, id_column, columns).join(sample, "doc_id").select("doc_id", "y", *COLUMNS)
-    # A repeated document gives its first texts only as many rows as the sample's bounds allow.
-    taken = map_columns(rows, f"doc_id {kind}, y int, text binary, meta binary", body)
-    found = written(taken.orderBy("doc_id", "text").limit(fit_rows + pool_rows), "features").collect()
+    schema = f"doc_id {kind}, text binary, lang string, source string, n_chars long"
+    features = map_columns(_features(df, id_column, columns), schema, body)
+    pool = written(features.join(marks, "doc_id", "left_anti").drop("doc_id"), "pool")
+    taken = features.join(sample, "doc_id").orderBy(order, "doc_id", "text").limit(fit_rows)
+    # A repeated document gives as many rows as the sample's bound allows, whatever its id.
+    found = written(taken, "features").collect()
     if not found:
         return None
     found.sort(key=lambda r: (str(r["doc_id"]), bytes(r["text"])))
-    text, meta = (np.stack([np.frombuffer(r[c], np.float32) for r in found]) for c in ("text", "meta"))
-    return co_train(text, meta, np.array([-1 if r["y"] is None else r["y"] for r in found]))
+    text = np.stack([np.frombuffer(r["text"], np.float32) for r in found])
+    meta = np.stack([meta_features(r["lang"], r["source"], r["n_chars"]) for r in found])
+    return co_train(text, meta, np.array([r["y"] for r in found]), total=_total_over(pool, text.shape[1]))
 
 
 def score_documents(
