@@ -15,6 +15,10 @@ def spark(tmp_path_factory):
         conf_map={
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
+            "spark.driver.memory": "6g",
+            "spark.ui.retainedJobs": "50",
+            "spark.ui.retainedStages": "50",
+            "spark.sql.ui.retainedExecutions": "20",
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
             "spark.checkpoint.dir": str(folder / "checkpoints"),
         },
