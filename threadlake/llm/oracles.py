@@ -83,5 +83,31 @@ SELECT conv_id,
        sum(chars)::BIGINT AS formatted_chars
 FROM sized
 GROUP BY conv_id
+""",
+    "op11_fill_in_middle": r"""
+WITH lines AS (
+    SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h,
+           regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines
+    FROM documents
+), drawn AS (
+    SELECT *, len(lines) AS n,
+           ('0x' || h[1:8])::BIGINT % (len(lines) + 1) AS one, ('0x' || h[9:16])::BIGINT % (len(lines) + 1) AS two,
+           CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR ('0x' || h[17:24])::BIGINT % 100 >= 100 THEN 'plain'
+                WHEN ('0x' || h[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+    FROM lines
+), parts AS (
+    SELECT *, coalesce(array_to_string(lines[1:least(one, two)], ''), '') AS prefix,
+           coalesce(array_to_string(lines[least(one, two) + 1:greatest(one, two)], ''), '') AS middle,
+           coalesce(array_to_string(lines[greatest(one, two) + 1:], ''), '') AS suffix
+    FROM drawn
+)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
 """,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadlake.llm import chat, decontaminate, html_wrappers, jaccard_join, neighbours, packing, quality, token_counts, url_rules, warc_zip
+from threadlake.llm import chat, decontaminate, fill_middle, html_wrappers, jaccard_join, neighbours, packing, quality, token_counts, url_rules, warc_zip
 from threadlake.llm.common import table
 from threadlake.session import rows_frame
 
@@ -84,6 +84,11 @@ def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_wrappers.extract_text(table(spark, sf_dir, "pages"))
 
 
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = fill_middle.Rates(cut=100, spm=50)
+    return fill_middle.digests(fill_middle.fill_in_middle(table(spark, sf_dir, "documents"), seed=7, rates=rates))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest_neighbours": nearest_neighbours,
     "op2_decontamination": decontaminated,
@@ -95,4 +100,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_formatting": chat_format,
     "op9_best_fit_packing": best_fit_packing,
     "op10_html_extraction": main_texts,
+    "op11_fill_in_middle": fill_in_middle,
 }
