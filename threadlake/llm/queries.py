@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadlake.llm import chat, decontaminate, fill_middle, html_wrappers, jaccard_join, neighbours, packing, quality, token_counts, url_rules, warc_zip
+from threadlake.llm import chat, decontaminate, fill_middle, html_wrappers, jaccard_join, neighbours, packing, quality, token_counts, url_rules, warc_zip, whitening
 from threadlake.llm.common import table
 from threadlake.session import rows_frame
 
@@ -89,6 +89,10 @@ def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(fill_middle.fill_in_middle(table(spark, sf_dir, "documents"), seed=7, rates=rates))
 
 
+def whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=8)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest_neighbours": nearest_neighbours,
     "op2_decontamination": decontaminated,
@@ -101,4 +105,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": best_fit_packing,
     "op10_html_extraction": main_texts,
     "op11_fill_in_middle": fill_in_middle,
+    "op12_embedding_whitening": whitened_embeddings,
 }
