@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from threadlake.llm import chat, decontaminate, fill_middle, html_wrappers, jaccard_join, neighbours, packing, quality, token_counts, url_rules, warc_zip, whitening
+from threadlake.llm import chat, decontaminate, fill_middle, html_wrappers, jaccard_join, neighbours, packing, quality, suffix_dedup, token_counts, url_rules, warc_zip, whitening
 from threadlake.llm.common import table
 from threadlake.session import rows_frame
 
@@ -93,6 +93,10 @@ def whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"), components=8)
 
 
+def without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=50, finish=suffix_dedup.digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest_neighbours": nearest_neighbours,
     "op2_decontamination": decontaminated,
@@ -106,4 +110,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_html_extraction": main_texts,
     "op11_fill_in_middle": fill_in_middle,
     "op12_embedding_whitening": whitened_embeddings,
+    "op13_suffix_array_dedup": without_repeats,
 }
