@@ -32,7 +32,7 @@ from threadlake.llm.common import text_or_empty, written
 from threadlake.llm.deep_shallow import padded, sort_suffixes
 from threadlake.session import run_folder, stage, stage_bucketed
 
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 8_000_000
 MOST_BUCKETS = 100_000
 HOT_BLOCKS = 256
 CHUNK = 1 << 20
@@ -227,23 +227,24 @@ class Block:
         least = np.full(int(sizes.sum()), NO_ID)
         for bucket, places in pieces.parts():
             least[ragged(begins[places], sizes[places])] = unpacked(answers[bucket])
-        change = np.zeros(len(self.data) + 1, np.int32)
-        step = 1 << 18
+        # Where removed windows start; a byte goes if the last start before it is near enough.
+        last = np.full(len(self.data), -self.plan.length, np.int32)
+        step = 1 << 17
         for begin in range(0, len(self.piece_starts), step):
             part = slice(begin, begin + step)
             size = self.piece_sizes[part]
             at = ragged(self.piece_starts[part], size)
             smaller = least[ragged(begins[self.piece_of[part]], size)] < np.repeat(self.owners[self.piece_documents[part]], size)
-            at = at[smaller]
-            change += np.bincount(at, minlength=len(change)).astype(np.int32)
-            change -= np.bincount(at + self.plan.length, minlength=len(change)).astype(np.int32)
-        gone = np.cumsum(change[:-1]) > 0
+            last[at[smaller]] = at[smaller]
+        np.maximum.accumulate(last, out=last)
+        gone = np.arange(len(last), dtype=np.int32) - last < self.plan.length
+        del last, least
         begins_here = gone.copy()
         begins_here[1:] &= ~gone[:-1]
         # Spans do not cross from one document into the next.
         heads = self.offsets[:-1][np.diff(self.offsets) > 0]
         begins_here[heads] = gone[heads]
-        removed, spans = (np.diff(np.append(0, np.cumsum(flags))[self.offsets]) for flags in (gone, begins_here))
+        removed, spans = (np.diff(np.append(np.int32(0), np.cumsum(flags, dtype=np.int32))[self.offsets]).astype(np.int64) for flags in (gone, begins_here))
         size = np.diff(self.offsets)
         kept_offsets = np.append(0, np.cumsum(size - removed))
         kept = pa.LargeBinaryArray.from_buffers(
