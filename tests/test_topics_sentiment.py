@@ -116,7 +116,7 @@ RULE_TOTALS = [
     ("IT IS GOOD", 2.0),
     ("it is BAD", -2 - 0.733),
     ("it is VERY good", 2 + 0.293 + 0.733),
-    ("kind of good", 2.0),
+    ("kind of x good", 2 - 0.293 * 0.95),
     ("kind good", 4.0),
     ("no good", 0 + 2 * -0.74),
     ("no way", -1.0),
@@ -138,6 +138,43 @@ def test_rules(spark):
     assert got == {text: squeezed(total) for text, total in RULE_TOTALS}
 
 
+# Phrases count as one word: rules see them as a whole, and distances too.
+IDIOM_LEXICON = {**LEXICON, "to die for": 3.0, "to die": -2.0, "broken heart": -2.9, "heart": 2.0, "good": 2.0}
+IDIOM_TOTALS = [
+    ("it was to die for", 3.0),
+    ("to die", -2.0),
+    ("not to die for", 3 * -0.74),
+    ("very to die for!", 3 + 0.293 + 0.292),
+    ("it is TO DIE FOR", 3 + 0.733),
+    ("it is To Die For", 3.0),
+    ("kind of good", 2 - 0.293),
+    ("not x to die good", -2 * -0.74 + 2 * -0.74),
+    ("good but to die for", 2 * 0.5 + 3 * 1.5),
+    ("broken, heart", -2.9),
+    ("so \U0001f494", -2.9 - 0.293),
+    ("\U0001f494\U0001f494", -5.8),
+    ("good\U0001f494", 2 - 2.9),
+    ("heart to die for", 5.0),
+]
+
+
+def test_idioms_and_emoji(spark):
+    df = spark.createDataFrame([(text,) for text, _ in IDIOM_TOTALS], "text string")
+    scored = add_sentiment(df, "text", IDIOM_LEXICON)
+    assert "Exchange" not in plan(scored)
+    got = {row.text: row.sentiment_score for row in scored.collect()}
+    assert got == {text: squeezed(total) for text, total in IDIOM_TOTALS}
+
+
+def test_default_idioms_and_emoji(spark):
+    expected = {
+        "a kiss of death": "negative", "yeah right": "negative", "\U0001f600": "positive", "\U0001f622": "negative",
+        "at the bus stop": "neutral", "this cake is to die for": "positive", "\U0001f494": "negative",
+    }
+    df = spark.createDataFrame([(text,) for text in expected], "text string")
+    assert {row.text: row.sentiment_label for row in add_sentiment(df).collect()} == expected
+
+
 def test_rule_words_are_parameters(spark):
     rules = SentimentRules(degrees={"sehr": 0.5}, negations=["nicht"], contrast="aber")
     got = score(spark, "nicht sehr gut aber gut", {"gut": 2.0}, rules).sentiment_score

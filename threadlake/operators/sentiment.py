@@ -4,8 +4,11 @@ The lexicon and the rule words are inputs. The score follows the published
 rule-based method (Hutto and Gilbert, 2014): a valence per known word, changed
 by degree words, negations, capitals, "but" and closing punctuation, summed and
 squeezed into -1..1. The default lexicon is a short list of our own, so scores
-are not those of any published lexicon; give a full one for real work. Emoji
-and multi-word idioms are not treated.
+are not those of any published lexicon; give a full one for real work.
+
+A key of several words is a phrase, in the lexicon (an idiom) as among the degree
+words: where it stands in a text it counts as one word, and the longest one wins.
+Emoji are read as the words of their names.
 
 A text stays in its row: its words are an array, the few that the lexicon knows
 look at their neighbours by position, and nothing is exploded, shuffled or sent
@@ -20,9 +23,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from threadlake.functions.emoji import emoji_names, spell_emoji
 from threadlake.functions.labels import sentiment_label
 from threadlake.functions.lookup import let, literal_lookup
-from threadlake.functions.text import clean_html, word_tokens
+from threadlake.functions.phrases import merge_phrases
+from threadlake.functions.text import clean_html, squeeze_spaces, word_tokens
 
 # Fixed values of the published method.
 DEGREE_STEP = 0.293
@@ -53,6 +58,13 @@ NEGATIONS = (
     "shouldnt uhuh wasnt werent without wont wouldnt rarely seldom despite"
 ).split()
 
+# Idioms and degree phrases of the method.
+IDIOMS: dict[str, float] = {
+    "the bomb": 3.0, "bad ass": 1.5, "bus stop": 0.0, "yeah right": -2.0, "kiss of death": -1.5,
+    "to die for": 3.0, "beating heart": 3.1, "broken heart": -2.9,
+}
+WEAKER_PHRASES = ("just enough", "kind of", "sort of")
+
 # Our own short list of everyday words, valence -4 to 4.
 DEFAULT_LEXICON: dict[str, float] = {
     "amazing": 3.0, "awesome": 3.0, "beautiful": 2.5, "best": 3.0, "better": 1.5,
@@ -69,11 +81,16 @@ DEFAULT_LEXICON: dict[str, float] = {
     "poor": -2.0, "problem": -1.5, "sad": -2.0, "scam": -3.0, "slow": -1.0,
     "stupid": -2.5, "terrible": -3.0, "ugly": -2.0, "useless": -2.0, "worse": -2.0,
     "worst": -3.0, "wrong": -2.0,
+    # Words of the names of common emoji.
+    "smiling": 2.0, "grinning": 2.0, "joy": 2.5, "heart": 2.0, "kiss": 1.5, "thumbs up": 2.0,
+    "crying": -2.0, "pouting": -2.0, "weary": -1.5, "fearful": -2.0, "thumbs down": -2.0,
+    **IDIOMS,
 }
 
 
 def _default_degrees() -> dict[str, float]:
-    return {**dict.fromkeys(STRONGER, DEGREE_STEP), **dict.fromkeys(WEAKER, -DEGREE_STEP)}
+    weaker = dict.fromkeys((*WEAKER, *WEAKER_PHRASES), -DEGREE_STEP)
+    return {**dict.fromkeys(STRONGER, DEGREE_STEP), **weaker}
 
 
 @dataclass(frozen=True)
@@ -83,6 +100,7 @@ class SentimentRules:
     degrees: Mapping[str, float] = field(default_factory=_default_degrees)
     negations: Iterable[str] = tuple(NEGATIONS)
     contrast: str = "but"
+    emoji: Mapping[str, str] = field(default_factory=emoji_names)
 
 
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -118,7 +136,8 @@ def _in_capitals(word: Column, low: Column) -> Column:
 def valence_sum(
     words: Column, lexicon: Mapping[str, float], rules: SentimentRules
 ) -> Column:
-    """The summed valence of an array of words."""
+    """The summed valence of an array of words; phrases of the rules count as one word."""
+    words = merge_phrases(words, [*lexicon, *rules.degrees])
     valence_of = literal_lookup(lexicon)
     degree_of = literal_lookup(rules.degrees)
     negations = sorted(rules.negations)
@@ -236,6 +255,14 @@ def valence_sum(
     ))
 
 
+def _spelled(clean: Column, emoji: Mapping[str, str]) -> Column:
+    """``clean`` with its emoji as words; only a text that changes is squeezed once more."""
+    return let(clean, lambda text: let(
+        spell_emoji(text, emoji),
+        lambda spelled: F.when(spelled == text, text).otherwise(squeeze_spaces(spelled)),
+    ))
+
+
 def _emphasis(clean: Column) -> Column:
     def count(mark: str) -> Column:
         return F.length(clean) - F.length(F.replace(clean, F.lit(mark), F.lit("")))
@@ -257,7 +284,8 @@ def add_sentiment(
 ) -> DataFrame:
     """Adds ``sentiment_score`` (four decimals) and ``sentiment_label``.
 
-    The text is cleaned of HTML first; a blank one scores 0 and is neutral.
+    The text is cleaned of HTML and its emoji are spelled out first; a blank one scores 0
+    and is neutral.
     """
     lexicon = DEFAULT_LEXICON if lexicon is None else lexicon
     rules = rules or SentimentRules()
@@ -270,7 +298,7 @@ def add_sentiment(
         )
 
     return (
-        df.withColumn("_clean", clean_html(F.col(column)))
+        df.withColumn("_clean", _spelled(clean_html(F.col(column)), rules.emoji))
         .withColumn(
             "sentiment_score",
             let(valence_sum(sentiment_words(F.col("_clean")), lexicon, rules), score),

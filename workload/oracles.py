@@ -163,11 +163,38 @@ def _clean(column: str) -> str:
 PUNCTUATION = r"[!-/:-@\[-`{-~]+"
 
 
-def _sentiment(source: str, key: str) -> str:
+def _spelled(sql: str, emoji: Mapping[str, str]) -> str:
+    for symbol, name in emoji.items():
+        sql = f"replace({sql}, '{symbol}', ' {name} ')"
+    return f"trim(regexp_replace({sql}, ' +', ' ', 'g'))" if emoji else sql
+
+
+def _phrased(key: str, phrases: Iterable[str]) -> str:
+    """``phrased(key, pos, shown)``: the bare words, with phrases as single ones.
+
+    Words stand between two control characters each; the longest phrases are joined first.
+    """
+    sql = "string_agg(chr(30) || shown || chr(31), '' ORDER BY pos)"
+    for phrase in sorted(phrases, key=lambda p: -len(p.split())):
+        parts = phrase.split()
+        found = r"\x1f\x1e".join(f"({part})" for part in parts)
+        joined = " ".join(rf"\{n + 1}" for n in range(len(parts)))
+        sql = rf"regexp_replace({sql}, '\x1e{found}\x1f', chr(30) || '{joined}' || chr(31), 'gi')"
+    return f"""
+joined AS (SELECT {key}, string_split(trim({sql}, chr(30) || chr(31)), chr(31) || chr(30)) AS parts
+           FROM bare_words GROUP BY {key}),
+phrased AS (SELECT {key}, unnest(parts) AS shown, unnest(range(1, len(parts) + 1)) AS pos FROM joined)"""
+
+
+def _sentiment(
+    source: str, key: str, phrases: Mapping[str, float] | None = None, emoji: Mapping[str, str] | None = None
+) -> str:
     """``scored(key, sentiment_score, sentiment_label)`` with the rules step by step.
 
     Words are rows here; the three before a word come from window functions.
     """
+    lexicon = {**views.LEXICON, **(phrases or {})}
+    merged = f",{_phrased(key, phrases)}" if phrases else ""
 
     def prior(column: str, default: str) -> str:
         return ", ".join(
@@ -187,7 +214,7 @@ def _sentiment(source: str, key: str) -> str:
         )
 
     return f"""
-cleaned AS (SELECT {key}, {_clean('text')} AS clean FROM {source}),
+cleaned AS (SELECT {key}, {_spelled(_clean('text'), emoji or {})} AS clean FROM {source}),
 raw_words AS (
     SELECT {key}, unnest(string_split(clean, ' ')) AS raw,
            unnest(range(1, len(string_split(clean, ' ')) + 1)) AS pos
@@ -199,13 +226,13 @@ bare_words AS (
                 THEN regexp_replace(raw, '^{PUNCTUATION}|{PUNCTUATION}$', '', 'g')
                 ELSE raw END AS shown
     FROM raw_words
-),
+){merged},
 facts AS (
     SELECT b.{key}, b.pos, lower(b.shown) AS word,
            b.shown = upper(b.shown) AND b.shown <> lower(b.shown) AS caps,
            l.valence, l.valence IS NOT NULL AS known, coalesce(d.degree, 0) AS degree
-    FROM bare_words b
-    LEFT JOIN {_values(views.LEXICON)} l(term, valence) ON lower(b.shown) = l.term
+    FROM {"phrased" if phrases else "bare_words"} b
+    LEFT JOIN {_values(lexicon)} l(term, valence) ON lower(b.shown) = l.term
     LEFT JOIN {_values(views.DEGREES)} d(term, degree) ON lower(b.shown) = d.term
 ),
 around AS (
@@ -495,6 +522,14 @@ ORACLES = {
         GROUP BY d.doc_id""",
     "sentiment_of_replies": f"""
         WITH {REPLY_SENTIMENT} SELECT id, sentiment_score, sentiment_label FROM scored""",
+    "sentiment_of_phrases": f"""
+        WITH {REPLIES},
+        planted AS (
+            SELECT id, coalesce(text, '') || CASE (conv_id + turn) % {len(views.PLANTED)}
+                {" ".join(f"WHEN {n} THEN '{text}'" for n, text in enumerate(views.PLANTED))} END AS text
+            FROM replies
+        ),{_sentiment('planted', 'id', views.PHRASES, views.EMOJI)}
+        SELECT id, sentiment_score, sentiment_label FROM scored""",
     "sentiment_of_documents": f"""
         WITH {_sentiment('documents', 'doc_id')}
         SELECT doc_id, sentiment_score, sentiment_label FROM scored""",

@@ -419,6 +419,16 @@ def sentiment_of_documents(spark, sf_dir):
     ).select("doc_id", "sentiment_score", "sentiment_label")
 
 
+@query
+def sentiment_of_phrases(spark, sf_dir):
+    rules = sentiment.SentimentRules(
+        degrees=views.DEGREES, negations=views.NEGATIONS, contrast=views.CONTRAST, emoji=views.EMOJI
+    )
+    return sentiment.add_sentiment(
+        spread(views.planted_replies(spark, sf_dir)), "text", {**views.LEXICON, **views.PHRASES}, rules
+    ).select("id", "sentiment_score", "sentiment_label")
+
+
 @query
 def sentiment_histogram(spark, sf_dir):
     scored = sentiment.add_sentiment(

@@ -23,6 +23,10 @@ LEXICON = {
 DEGREES = {"the": 0.25, "and": -0.25, "en": 0.5, "und": -0.5}
 NEGATIONS = ["of", "to", "le", "von", "never", "without"]
 CONTRAST = "that"
+# Phrases of the prose and planted ones; emoji by the words they are read as.
+PHRASES = {"to die for": 3.0, "kiss of death": -1.5, "it is for": 2.5, "on the": -2.0, "broken heart": -2.75}
+EMOJI = {"\U0001f600": "this smile", "\U0001f494": "from broken heart"}
+PLANTED = [" It was TO die for!", " Yeah, kiss of Death \U0001f494", "\U0001f600it is for you", ""]
 STOP_WORDS = ["the", "of", "and", "to", "in", "de"]
 
 
@@ -69,5 +73,11 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replies with a phrase or an emoji at the end of most."""
+    planted = F.get(F.array(*map(F.lit, PLANTED)), F.pmod(F.col("conv_id") + F.col("turn"), F.lit(len(PLANTED))).cast("int"))
+    return replies(spark, sf_dir).select("id", F.concat(F.coalesce("text", F.lit("")), planted).alias("text"))
+
+
 def labelled_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"))
