@@ -17,7 +17,7 @@ to a Python worker.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 
 from threadlake.functions.emoji import emoji_names, spell_emoji
 from threadlake.functions.labels import sentiment_label
-from threadlake.functions.lookup import let, literal_lookup
+from threadlake.functions.lookup import MAX_TABLE_WORDS, let, literal_lookup
 from threadlake.functions.phrases import merge_phrases
 from threadlake.functions.text import clean_html, squeeze_spaces, word_tokens
+from threadlake.functions.word_tables import WordTable, fits, word_lookup
 
 # Fixed values of the published method.
 DEGREE_STEP = 0.293
@@ -137,8 +138,10 @@ def valence_sum(
     words: Column, lexicon: Mapping[str, float], rules: SentimentRules
 ) -> Column:
     """The summed valence of an array of words; phrases of the rules count as one word."""
-    words = merge_phrases(words, [*lexicon, *rules.degrees])
-    valence_of = literal_lookup(lexicon)
+    return _valence_sum(merge_phrases(words, [*lexicon, *rules.degrees]), literal_lookup(lexicon), rules)
+
+
+def _valence_sum(words: Column, valence_of: Callable[[Column], Column], rules: SentimentRules) -> Column:
     degree_of = literal_lookup(rules.degrees)
     negations = sorted(rules.negations)
 
@@ -276,16 +279,30 @@ def _emphasis(clean: Column) -> Column:
     return exclamations + questions
 
 
+def _phrases(lexicon: WordTable) -> list[str]:
+    """The entries of several words. They steer how texts are cut, so they are configuration
+    whatever the size of the table: at most as many as a constant word table."""
+    if not isinstance(lexicon, DataFrame):
+        return [term for term in lexicon if " " in term]
+    term = F.col(lexicon.columns[0])
+    found = lexicon.select(term.alias("term")).where(F.contains(term, F.lit(" "))).limit(MAX_TABLE_WORDS + 1).collect()
+    if len(found) > MAX_TABLE_WORDS:
+        raise ValueError(f"more than {MAX_TABLE_WORDS} phrases in the lexicon")
+    return [row.term for row in found]
+
+
 def add_sentiment(
     df: DataFrame,
     column: str = "text",
-    lexicon: Mapping[str, float] | None = None,
+    lexicon: WordTable | None = None,
     rules: SentimentRules | None = None,
 ) -> DataFrame:
     """Adds ``sentiment_score`` (four decimals) and ``sentiment_label``.
 
     The text is cleaned of HTML and its emoji are spelled out first; a blank one scores 0
-    and is neutral.
+    and is neutral. The lexicon may be a frame of term and valence and have any size
+    (``word_tables``); then the rows are staged if more of its words occur than a constant
+    holds.
     """
     lexicon = DEFAULT_LEXICON if lexicon is None else lexicon
     rules = rules or SentimentRules()
@@ -297,15 +314,20 @@ def add_sentiment(
             lambda sum_: F.round(sum_ / F.sqrt(sum_ * sum_ + F.lit(SPREAD)), 4),
         )
 
-    return (
-        df.withColumn("_clean", _spelled(clean_html(F.col(column)), rules.emoji))
-        .withColumn(
-            "sentiment_score",
-            let(valence_sum(sentiment_words(F.col("_clean")), lexicon, rules), score),
-        )
-        .withColumn("sentiment_label", sentiment_label(F.col("sentiment_score")))
-        .drop("_clean")
+    def words() -> Column:
+        return merge_phrases(sentiment_words(F.col("_clean")), [*phrases, *rules.degrees])
+
+    phrases = _phrases(lexicon)
+    cleaned = df.withColumn("_clean", _spelled(clean_html(F.col(column)), rules.emoji))
+    if fits(lexicon):
+        rows, total = cleaned, valence_sum(sentiment_words(F.col("_clean")), lexicon, rules)
+    else:
+        found = word_lookup(cleaned, F.transform(words(), F.lower), lexicon)
+        rows, total = found.rows, _valence_sum(words(), found.value_of, rules)
+    scored = rows.withColumn("sentiment_score", let(total, score)).withColumn(
+        "sentiment_label", sentiment_label(F.col("sentiment_score"))
     )
+    return scored.select(*df.columns, "sentiment_score", "sentiment_label")
 
 
 def lexicon_sum(text: Column, lexicon: Mapping[str, float]) -> Column:
@@ -318,5 +340,18 @@ def lexicon_sum(text: Column, lexicon: Mapping[str, float]) -> Column:
     )
 
 
+def add_lexicon_sum(
+    df: DataFrame, column: str, lexicon: WordTable, output: str = "valence"
+) -> DataFrame:
+    """``lexicon_sum`` as a column, for a lexicon of any size."""
+    found = word_lookup(df, word_tokens(F.col(column)), lexicon)
+    total = F.aggregate(
+        word_tokens(F.col(column)),
+        F.lit(0.0),
+        lambda done, word: done + F.coalesce(found.value_of(word), F.lit(0.0)),
+    )
+    return found.without_helpers(found.rows.withColumn(output, total))
+
+
 def label_histogram(df: DataFrame) -> DataFrame:
     return df.groupBy("sentiment_label").agg(F.count(F.lit(1)).alias("rows"))

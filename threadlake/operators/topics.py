@@ -14,7 +14,8 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlake.functions.lookup import MAX_TABLE_WORDS, let, literal_lookup
+from threadlake.functions import word_tables
+from threadlake.functions.lookup import let
 from threadlake.functions.text import word_tokens
 
 MAX_FEATURES = 100  # fixed value
@@ -38,8 +39,6 @@ def fit_vocabulary(
     and ``idf = ln((1 + n) / (1 + df)) + 1``. Equal counts go in term order.
     The shuffle carries one row per term and map task.
     """
-    if max_features > MAX_TABLE_WORDS:
-        raise ValueError(f"max_features of {max_features}; at most {MAX_TABLE_WORDS}")
     spark = df.sparkSession
     stop = default_stop_words(spark) if stop_words is None else list(stop_words)
     total = df.agg(F.count(F.lit(1)).alias("n"))
@@ -87,12 +86,17 @@ def score_terms(
 
     The weight is ``tf * idf``; dividing by the row's norm would not change the
     order and is left out. Equal weights go in reverse term order.
-    ``vocabulary`` is a result of ``fit_vocabulary``, bounded by its limit.
+    ``vocabulary`` is a result of ``fit_vocabulary``. One of up to ``CONSTANT_WORDS`` terms
+    becomes a constant; a larger one is joined, with the words of each row counted once.
     """
-    idf_of = {row["term"]: row["idf"] for row in vocabulary.select("term", "idf").collect()}
-    if not idf_of:
+    terms = vocabulary.select("term", "idf")
+    first = terms.limit(word_tables.CONSTANT_WORDS + 1).collect()
+    if not first:
         return df.withColumn(output, F.array().cast("array<string>"))
-    idf = literal_lookup(idf_of)
+    small = len(first) <= word_tables.CONSTANT_WORDS
+    table = {row["term"]: row["idf"] for row in first} if small else terms
+    found = word_tables.word_lookup(df, word_tokens(F.col(column)), table)
+    idf = found.value_of
 
     def best(hits: Column) -> Column:
         # Sorted, equal terms stand in one run, from the place where the term differs from
@@ -118,7 +122,7 @@ def score_terms(
         return F.transform(F.slice(ranked, 1, top_n), lambda entry: entry["term"])
 
     hits = F.filter(word_tokens(F.col(column)), lambda token: idf(token).isNotNull())
-    return df.withColumn(output, let(hits, best))
+    return found.without_helpers(found.rows.withColumn(output, let(hits, best)))
 
 
 def top_terms(
