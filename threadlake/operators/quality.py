@@ -235,16 +235,90 @@ CheckSpec = NotNull | Unique | InRange | RefersTo | Volume
 
 
 def measurements(df: DataFrame, specs: Sequence[CheckSpec]) -> DataFrame:
-    """One row: ``total`` and one column ``m<i>`` per spec that needs counting."""
-    plain, beside = [], []
-    for position, spec in enumerate(specs):
-        if spec.absent(df):
-            continue
-        if hasattr(spec, "count"):
-            plain.append(spec.count(df).alias(f"m{position}"))
-        elif hasattr(spec, "query"):
-            beside.append(spec.query(df).scalar().alias(f"m{position}"))
-    return df.agg(F.count(F.lit(1)).alias("total"), *plain).select("*", *beside)
+    """One row: ``total`` and one column ``m<i>`` per spec that needs counting.
+
+    Checks of keys are answered together, by one scan and one shuffle of the rows: each row
+    is stacked as one entry for every check of keys and one for all plain counts, the parents'
+    keys come beside them, and entries are counted by check and key. Map tasks combine
+    before the shuffle, so a key sends one entry per check and task however often it occurs.
+    """
+    present = [(n, spec) for n, spec in enumerate(specs) if not spec.absent(df)]
+    plain = [(n, spec) for n, spec in present if hasattr(spec, "count")]
+    queried = [(n, spec) for n, spec in present if hasattr(spec, "query")]
+    stacked = [(n, spec) for n, spec in queried if _stackable(df, spec)]
+    beside = [spec.query(df).scalar().alias(f"m{n}") for n, spec in queried if (n, spec) not in stacked]
+    if not stacked:
+        counted = df.agg(F.count(F.lit(1)).alias("total"), *[spec.count(df).alias(f"m{n}") for n, spec in plain])
+    else:
+        counted = _stacked_counts(df, plain, stacked)
+    return counted.select("*", *beside)
+
+
+_PLAIN = -1  # the entry of a row that is counted by no key
+
+
+def _stackable(df: DataFrame, spec: CheckSpec) -> bool:
+    """Whether child and parent keys have a common type without reading text as numbers."""
+    if not isinstance(spec, RefersTo):
+        return True
+    kinds = (df.schema[spec.child_key].dataType, spec.parent.schema[spec.parent_key].dataType)
+    return kinds[0] == kinds[1] or all(isinstance(kind, T.IntegralType) for kind in kinds)
+
+
+def _key_kinds(df: DataFrame, spec: CheckSpec) -> list[tuple[str, T.DataType]]:
+    if isinstance(spec, RefersTo):
+        kinds = [df.schema[spec.child_key].dataType, spec.parent.schema[spec.parent_key].dataType]
+        return [(spec.child_key, kinds[0] if kinds[0] == kinds[1] else T.LongType())]
+    return [(column, df.schema[column].dataType) for column in spec.columns]
+
+
+def _stacked_counts(df: DataFrame, plain: list, stacked: list) -> DataFrame:
+    kinds = {n: _key_kinds(df, spec) for n, spec in stacked}
+    names = {n: [f"_k{n}_{j}" for j in range(len(kinds[n]))] for n in kinds}
+
+    def entry(check: int, keys: dict[str, Column], bad: dict[int, Column]) -> Column:
+        """A struct with the same fields for every check; those of others are null."""
+        fields = [F.lit(check).alias("_check")]
+        for n in kinds:
+            for name, (_, kind) in zip(names[n], kinds[n]):
+                fields.append(keys.get(name, F.lit(None)).cast(kind).alias(name))
+        fields += [bad.get(n, F.lit(0)).cast("long").alias(f"_m{n}") for n, _ in plain]
+        return F.struct(*fields)
+
+    flags = {n: F.when(spec.bad(df), 1).otherwise(0) for n, spec in plain}
+    entries = [entry(_PLAIN, {}, flags)]
+    for n in kinds:
+        entries.append(entry(n, {name: F.col(c) for name, (c, _) in zip(names[n], kinds[n])}, {}))
+    rows = df.select(F.inline(F.array(*entries))).withColumn("_row", F.lit(1)).withColumn("_parent", F.lit(0))
+    for n, spec in stacked:
+        if isinstance(spec, RefersTo):
+            key = F.col(spec.parent_key)
+            own = spec.parent.where(key.isNotNull()).select(F.inline(F.array(entry(n, {names[n][0]: key}, {}))))
+            rows = rows.unionByName(own.withColumn("_row", F.lit(0)).withColumn("_parent", F.lit(1)))
+    every = [name for n in kinds for name in names[n]]
+    grouped = rows.groupBy("_check", *every).agg(
+        F.sum("_row").alias("_rows"),
+        F.max("_parent").alias("_parent"),
+        *[F.sum(f"_m{n}").alias(f"_m{n}") for n, _ in plain],
+    )
+
+    def total(value: Column, where: Column) -> Column:
+        return F.coalesce(F.sum(F.when(where, value)), F.lit(0)).cast("long")
+
+    check, rows_of, parent = F.col("_check"), F.col("_rows"), F.col("_parent") == 1
+    columns = [total(rows_of, check == _PLAIN).alias("total")]
+    columns += [total(F.col(f"_m{n}"), check == _PLAIN).alias(f"m{n}") for n, _ in plain]
+    for n, spec in stacked:
+        if isinstance(spec, RefersTo):
+            columns.append(
+                F.struct(
+                    total(rows_of, (check == n) & ~parent).alias("unmatched"),
+                    total(F.lit(1), (check == n) & parent).alias("parents"),
+                ).alias(f"m{n}")
+            )
+        else:
+            columns.append(total(rows_of, (check == n) & (rows_of > 1)).alias(f"m{n}"))
+    return grouped.agg(*columns)
 
 
 def run_suite(
