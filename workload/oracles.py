@@ -354,7 +354,52 @@ SUITE = " UNION ALL ".join(
     )
 )
 
+def _suite_of(source: str, checks: list[tuple[str, str, str]]) -> str:
+    """A suite over the rows of ``source`` (with ``id``): name, severity and what is bad."""
+    return " UNION ALL ".join(
+        "(" + _check(name, severity, f"count(*) FILTER (WHERE {bad})", f"SELECT id FROM {source} WHERE {bad}", source) + ")"
+        for name, severity, bad in checks
+    )
+
+
+def _nulls(*columns: str) -> str:
+    return " OR ".join(f"{column} IS NULL" for column in columns)
+
+
+SUITE_STORIES = """stories AS (
+    SELECT doc_id AS id, source AS type, CASE WHEN n_chars > 100 THEN n_chars END AS time, n_chars - 500 AS score,
+           length(text) - 200 AS descendants, lang AS ingestion_date,
+           count(*) OVER (PARTITION BY doc_id, lang) AS n FROM documents)"""
+SUITE_COMMENTS = """comments AS (
+    SELECT conv_id AS id, role AS type, turn AS time, conv_id AS parent, role AS ingestion_date,
+           count(*) OVER (PARTITION BY conv_id, role) AS n FROM conversations)"""
+
 ORACLES = {
+    "suite_of_stories": f"""WITH {SUITE_STORIES} {_suite_of("stories", [
+        ("check_not_null", "critical", _nulls("id", "type", "time", "ingestion_date")),
+        ("check_unique", "critical", "n > 1"),
+        ("check_range", "warning", "score < 0"),
+        ("check_range", "warning", "descendants < 0"),
+        ("check_volume", "warning", "false"),
+    ])}""",
+    "suite_of_comments": f"""WITH {SUITE_COMMENTS} {_suite_of("comments", [
+        ("check_not_null", "critical", _nulls("id", "type", "time", "parent", "ingestion_date")),
+        ("check_unique", "critical", "n > 1"),
+        ("check_referential_integrity", "critical", "parent NOT IN (SELECT doc_id FROM labels)"),
+        ("check_volume", "warning", "false"),
+    ])}""",
+    "suite_of_enriched_stories": f"""WITH {ENGAGEMENT} {_suite_of("engagement", [
+        ("check_not_null", "critical", _nulls(
+            "score_velocity", "comment_velocity", "hours_to_peak", "is_long_tail", "observations_in_window")),
+        ("check_range", "warning", "hours_to_peak < 0"),
+        ("check_range", "warning", "observations_in_window < 1"),
+        ("check_volume", "warning", "false"),
+    ])}""",
+    "suite_of_enriched_comments": f"""WITH {REPLY_SENTIMENT} {_suite_of("scored", [
+        ("check_not_null", "critical", _nulls("sentiment_score", "sentiment_label")),
+        ("check_range", "warning", "abs(sentiment_score) > 1"),
+        ("check_volume", "warning", "false"),
+    ])}""",
     "engagement": f"WITH {ENGAGEMENT} SELECT * FROM engagement",
     "keep_last_rows": """
         SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,

@@ -361,6 +361,44 @@ def quality_report(spark, sf_dir):
     )
 
 
+@query
+def suite_of_stories(spark, sf_dir):
+    stories = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("id"),
+        F.col("source").alias("type"),
+        F.when(F.col("n_chars") > 100, F.col("n_chars")).alias("time"),
+        (F.col("n_chars") - 500).alias("score"),
+        (F.length("text") - 200).alias("descendants"),
+        F.col("lang").alias("ingestion_date"),
+    )
+    return _checks(stories, quality.story_suite())
+
+
+@query
+def suite_of_comments(spark, sf_dir):
+    comments = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("id"),
+        F.col("role").alias("type"),
+        F.col("turn").alias("time"),
+        F.col("conv_id").alias("parent"),
+        F.col("role").alias("ingestion_date"),
+    )
+    return _checks(comments, quality.comment_suite(views.labelled_ids(spark, sf_dir)))
+
+
+@query
+def suite_of_enriched_stories(spark, sf_dir):
+    return _checks(_engagement(spark, sf_dir), quality.enriched_story_suite())
+
+
+@query
+def suite_of_enriched_comments(spark, sf_dir):
+    scored = sentiment.add_sentiment(
+        spread(views.replies(spark, sf_dir).select("id", "text")), "text", views.LEXICON, RULES
+    )
+    return _checks(scored, quality.enriched_comment_suite())
+
+
 @query
 def incomplete_counts_of_comments(spark, sf_dir):
     loose = _loose_events(spark, sf_dir)
