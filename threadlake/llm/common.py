@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from threadlake.session import shared_folder
+from threadlake.session import run_folder, staged_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,13 +21,33 @@ def text_or_empty(name: str):
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back, which cuts its lineage."""
+    """``df`` written once to the shared folder and read back, which cuts its lineage.
+
+    Inside of ``kept`` it goes when that ends; else it is the caller's to clean.
+    """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/llm/{label}-{uuid.uuid4().hex}"
+    path = staged_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def kept(spark: SparkSession, label: str, body: Callable[[], DataFrame]) -> DataFrame:
+    """What ``body`` returns, written; all that it wrote on the way is deleted.
+
+    Spark deletes the shuffle files of a plan when nothing refers to it any more, so what
+    ``body`` held on both sides is let go of here.
+    """
+    path = staged_path(spark, label)
+    with run_folder(spark):
+        result = body()
+        result.write.parquet(path)
+        schema = result.schema
+    del result, body
+    gc.collect()
+    spark._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
+
+
 def map_columns(
     df: DataFrame, schema: str, body: Callable[[], Callable[[pa.RecordBatch], list]]
 ) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadlake.llm.common import written
+from threadlake.llm.common import kept, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,6 +15,10 @@ def components(links: DataFrame) -> DataFrame:
     contracts the links, so rounds grow with the logarithm of the longest chain. Minima are
     combined before the shuffle; tables are written each round and nothing is collected.
     """
+    return kept(links.sparkSession, "components", lambda: _rounds(links))
+
+
+def _rounds(links: DataFrame) -> DataFrame:
     labels = written(
         links.select(F.explode(F.array("a", "b")).alias("node")).distinct().select("node", F.col("node").alias("label")),
         "labels",

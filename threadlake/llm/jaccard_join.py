@@ -4,8 +4,9 @@ Documents with equal sets are one node. Each node's shingles have one order that
 share: by hash, but shingles that stand in more than ``common`` prefixes come last, the
 rarer of them first. Two sets that are similar enough share a shingle of their prefixes in
 that order, so nodes are joined on prefix shingles only; pairs pass a length, a positional and
-a suffix filter and are verified once. In a list of very many nodes not all pairs are made:
-each node meets a pivot first, and then only nodes it is not linked with yet.
+a suffix filter and are verified once. Not all pairs of a list are made: its nodes meet a
+pivot first, which then leaves the list, and at last only nodes that are not linked yet meet.
+What a step stages is deleted when its result is written.
 """
 
 from __future__ import annotations
@@ -19,14 +20,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadlake.llm.common import map_columns, text_or_empty, written
+from threadlake.llm.common import kept, map_columns, text_or_empty, written
 from threadlake.llm.components import components
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 CACHE_ENTRIES = 300_000
 SHORT = 64  # sets up to this size are kept whole, not only their prefix
 BINS = 128  # parts of the hash range that the suffix filter counts
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 1_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -182,6 +183,12 @@ class Join:
 
     def postings(self) -> DataFrame:
         """``h, rid, n, place``: prefix shingles that another node may share."""
+        return self._kept("postings", self._postings)
+
+    def _kept(self, label: str, body) -> DataFrame:
+        return kept(self.df.sparkSession, label, body)
+
+    def _postings(self) -> DataFrame:
         rule, common = self.rule, self.common
         counts = self.counted()
         sizes = self.nodes.select("rid", "n")
@@ -302,8 +309,11 @@ class Join:
         )
         return kept.select(F.least("rid", "rid2").alias("a"), F.greatest("rid", "rid2").alias("b")).distinct()
 
-    def verified(self, pairs: DataFrame, label: str) -> DataFrame:
-        """The pairs (a, b) that are similar enough, after the suffix filter, each compared once."""
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are similar enough, after the suffix filter."""
+        return self._kept("links", lambda: self._verified(pairs))
+
+    def _verified(self, pairs: DataFrame) -> DataFrame:
         percent = self.rule.percent
         bins = self.nodes.select("rid", "n", "bins")
 
@@ -344,55 +354,67 @@ class Join:
         x = sets.select(F.col("rid").alias("a"), F.col("shingles").alias("x"))
         y = sets.select(F.col("rid").alias("b"), F.col("shingles").alias("y"))
         rows = likely.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-        return written(rows.mapInArrow(compare, "a long, b long"), label)
+        return rows.mapInArrow(compare, "a long, b long")
 
-    def links(self, pivot_rounds: int = 2) -> DataFrame:
-        """Links (a, b) between nodes that make the same classes as all links do."""
+    def lists(self) -> DataFrame:
+        """``o, h, rid, n, place``: postings of two nodes or more.
 
-        def lists_of(postings: DataFrame) -> DataFrame:
+        What stands in a list of more than ``common`` is put in the exact order of rarity
+        among its like (``o`` is 1). Places of the two orders are not compared.
+        """
+
+        def shared(postings: DataFrame, order: int) -> DataFrame:
             sizes = postings.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-            return written(postings.join(sizes, "h"), "lists")
-
-        def all_pairs(lists: DataFrame) -> DataFrame:
-            few = lists.where(F.col("m") <= self.common).drop("m")
-            return self._filtered(few.join(_second(few), "h").where("rid < rid2"))
-
-        lists = lists_of(self.postings())
-        pairs = all_pairs(lists)
-        # What stands in a long list is put in the exact order of rarity among its like.
-        crowd = lists.where(F.col("m") > self.common).select("rid").distinct()
-        many = None
-        if not crowd.isEmpty():
-            lists = lists_of(self._rarest_first(crowd))
-            pairs = pairs.unionByName(all_pairs(lists)).distinct()
-            many = lists.where(F.col("m") > self.common).drop("m")
-        links = self.verified(written(pairs, "pairs"), "links")
-        if many is None or many.isEmpty():
-            return links
-        labels = components(links)
+            return postings.join(sizes, "h").select(F.lit(order).alias("o"), "h", "rid", "n", "place", "m")
+
+        first = written(shared(self.postings(), 0), "lists")
+        crowd = first.where(F.col("m") > self.common).select("rid").distinct()
+        few = first.where(F.col("m") <= self.common)
+        if crowd.isEmpty():
+            return few.drop("m")
+        rare = self._kept("rarest", lambda: self._rarest_first(crowd))
+        return few.unionByName(shared(rare, 1)).drop("m")
+
+    def links(self, pivot_rounds: int = 2) -> DataFrame:
+        """Links (a, b) between nodes that make the same classes as all links do.
+
+        A node that was a list's pivot has met all others of the list and leaves it; a pair
+        that was compared in one step is left out of the next. A group of copies gives a link
+        or two a node then, however long its lists are.
+        """
+        lists = self._kept("lists", self.lists)
+        labels = links = compared = None
         for step in range(pivot_rounds + 1):
-            known = many.join(labels.select(F.col("node").alias("rid"), "label"), "rid", "left").withColumn(
-                "label", F.coalesce("label", "rid")
-            )
-            # Lists whose nodes are all linked already need nothing more.
-            spread = known.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-            open_ = written(known.join(spread.select("h"), "h", "left_semi"), "open")
+            open_ = self._kept("open", lambda: _unlinked(lists, labels)) if step else lists.withColumn("label", F.col("rid"))
             if open_.isEmpty():
                 break
             if step < pivot_rounds:
                 # One pivot a list, the same one in most lists of a group of near copies.
-                pivots = open_.groupBy("h").agg(
+                pivots = open_.groupBy("o", "h").agg(
                     F.min_by(F.struct("rid", "n", "place", "label"), F.xxhash64("rid", F.lit(step))).alias("p")
-                ).select("h", "p.*")
-                met = open_.join(_second(pivots), "h")
+                ).select("o", "h", "p.*")
+                met = open_.join(_second(pivots), ["o", "h"]).where("rid <> rid2")
+                lists = open_.drop("label").join(pivots.select("o", "h", "rid"), ["o", "h", "rid"], "left_anti")
             else:
-                met = open_.join(_second(open_), "h").where("rid < rid2")
+                met = open_.join(_second(open_), ["o", "h"]).where("rid < rid2")
             pairs = self._filtered(met.where("label <> label2"))
-            found = self.verified(written(pairs, "pairs"), "links")
-            links = links.unionByName(found)
-            if step < pivot_rounds and not found.isEmpty():
+            if compared is not None:
+                pairs = pairs.join(compared, ["a", "b"], "left_anti")
+            pairs = written(pairs, "pairs")
+            compared = pairs if compared is None else compared.unionByName(pairs)
+            found = self.verified(pairs)
+            links = found if links is None else links.unionByName(found)
+            if step < pivot_rounds:
                 labels = components(links)
-        return links
+        return links if links is not None else self.nodes.select(F.col("rid").alias("a"), F.col("rid").alias("b")).limit(0)
+
+
+def _unlinked(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """The lists with the class of each node, without lists that are of one class."""
+    of_nodes = labels.select(F.col("node").alias("rid"), "label")
+    known = lists.join(of_nodes, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
+    spread = known.groupBy("o", "h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    return known.join(spread.select("o", "h"), ["o", "h"], "left_semi")
 
 
 def _sized(rows: DataFrame) -> DataFrame:
@@ -419,7 +441,8 @@ def _rows(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
 
 
 def _second(df: DataFrame) -> DataFrame:
-    return df.select("h", *[F.col(c).alias(f"{c}2") for c in df.columns if c != "h"])
+    keys = ["o", "h"]
+    return df.select(*keys, *[F.col(c).alias(f"{c}2") for c in df.columns if c not in keys])
 
 
 def similar_classes(
@@ -439,7 +462,12 @@ def similar_classes(
     id has a null one. Other columns are ignored. ``common`` only decides how lists are
     worked on, not which links are found.
     """
-    join = Join(df, Similarity(words, percent), id_column, text_column, common)
+    rule = Similarity(words, percent)
+    return kept(df.sparkSession, "classes", lambda: _classes(df, rule, id_column, text_column, common))
+
+
+def _classes(df: DataFrame, rule: Similarity, id_column: str, text_column: str, common: int) -> DataFrame:
+    join = Join(df, rule, id_column, text_column, common)
     labels = components(join.links())
     owners = join.docs.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("least"))
     nodes = join.firsts.select("sid", F.col("first").alias("rid"))
