@@ -293,8 +293,8 @@ class Join:
         ordered_rows = entries.join(sets.select("rid", "n"), "rid").select("rid", "n", "e")
         return written(ordered_rows.mapInArrow(ordered, POSTING), "postings")
 
-    def _filtered(self, pairs: DataFrame) -> DataFrame:
-        """Length and positional filter; pairs once each, the smaller node first.
+    def _possible(self, pairs: DataFrame) -> DataFrame:
+        """Length and positional filter.
 
         From its first common shingle on, at ``place``, a node can share no more than what is
         left of its set. The first common shingle of a pair passes if the pair is similar enough,
@@ -304,10 +304,9 @@ class Join:
         # Common shingles that a pair needs: percent / (100 + percent) of both sizes.
         need = self.rule.percent * (F.col("n") + F.col("n2"))
         most = F.least(F.col("n") - F.col("place"), F.col("n2") - F.col("place2"))
-        kept = pairs.where(
+        return pairs.where(
             (small * 100 >= large * self.rule.percent) & (most * (100 + self.rule.percent) >= need)
         )
-        return kept.select(F.least("rid", "rid2").alias("a"), F.greatest("rid", "rid2").alias("b")).distinct()
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are similar enough, after the suffix filter."""
@@ -378,9 +377,10 @@ class Join:
     def links(self, pivot_rounds: int = 2) -> DataFrame:
         """Links (a, b) between nodes that make the same classes as all links do.
 
-        A node that was a list's pivot has met all others of the list and leaves it; a pair
-        that was compared in one step is left out of the next. A group of copies gives a link
-        or two a node then, however long its lists are.
+        First each node meets one pivot only, whatever its lists are; that links nearly all
+        of a group of copies. Then the nodes of different classes meet the pivot of each list,
+        which leaves the list, as all others of it have met it, and at last what is left. A
+        pair that was compared in one step is left out of the next.
         """
         lists = self._kept("lists", self.lists)
         labels = links = compared = None
@@ -394,10 +394,14 @@ class Join:
                     F.min_by(F.struct("rid", "n", "place", "label"), F.xxhash64("rid", F.lit(step))).alias("p")
                 ).select("o", "h", "p.*")
                 met = open_.join(_second(pivots), ["o", "h"]).where("rid <> rid2")
-                lists = open_.drop("label").join(pivots.select("o", "h", "rid"), ["o", "h", "rid"], "left_anti")
+                if step:
+                    lists = open_.drop("label").join(pivots.select("o", "h", "rid"), ["o", "h", "rid"], "left_anti")
             else:
                 met = open_.join(_second(open_), ["o", "h"]).where("rid < rid2")
-            pairs = self._filtered(met.where("label <> label2"))
+            pairs = self._possible(met.where("label <> label2"))
+            if not step:
+                pairs = pairs.groupBy("rid").agg(F.min_by("rid2", F.xxhash64("rid2", F.lit(step))).alias("rid2"))
+            pairs = pairs.select(F.least("rid", "rid2").alias("a"), F.greatest("rid", "rid2").alias("b")).distinct()
             if compared is not None:
                 pairs = pairs.join(compared, ["a", "b"], "left_anti")
             pairs = written(pairs, "pairs")

@@ -28,9 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadlake.llm.common import text_or_empty, written
+from threadlake.llm.common import kept, text_or_empty
 from threadlake.llm.deep_shallow import padded, sort_suffixes
-from threadlake.session import run_folder, stage, stage_bucketed
+from threadlake.session import stage, stage_bucketed
 
 BLOCK_BYTES = 8_000_000
 MOST_BUCKETS = 100_000
@@ -425,17 +425,23 @@ def remove_repeats(
     plan = Plan(length, min(2 * blocks, MOST_BUCKETS), hot_blocks)
     numbered = rows.select("doc_id", "text", F.monotonically_increasing_id().alias("rid"))
     dealt = numbered.withColumn("block", F.pmod(F.xxhash64("rid"), F.lit(blocks)))
-    with run_folder(spark):
+    name = ""
+
+    def found() -> DataFrame:
+        nonlocal name
         texts, name = stage_bucketed(dealt, "block", "suffix_blocks", min(blocks, MOST_BUCKETS))
-        try:
-            own = texts.groupBy("block")
-            keys = own.applyInArrow(_key_sender(plan), SENT)
-            bits, _ = stage(keys.groupBy("bucket").applyInArrow(_answer_keys(plan), ANSWERS), "suffix_bits")
-            pieces = own.cogroup(bits.groupBy("block")).applyInArrow(_piece_sender(plan), SENT)
-            owners, _ = stage(pieces.groupBy("bucket").applyInArrow(_answer_pieces(plan), ANSWERS), "suffix_owners")
-            answers = bits.unionByName(owners).groupBy("block")
-            return written(finish(own.cogroup(answers).applyInArrow(_remover(plan), RESULT)), "suffix-dedup")
-        finally:
+        own = texts.groupBy("block")
+        keys = own.applyInArrow(_key_sender(plan), SENT)
+        bits, _ = stage(keys.groupBy("bucket").applyInArrow(_answer_keys(plan), ANSWERS), "suffix_bits")
+        pieces = own.cogroup(bits.groupBy("block")).applyInArrow(_piece_sender(plan), SENT)
+        owners, _ = stage(pieces.groupBy("bucket").applyInArrow(_answer_pieces(plan), ANSWERS), "suffix_owners")
+        answers = bits.unionByName(owners).groupBy("block")
+        return finish(own.cogroup(answers).applyInArrow(_remover(plan), RESULT))
+
+    try:
+        return kept(spark, "suffix-dedup", found)
+    finally:
+        if name:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
