@@ -28,7 +28,7 @@ from threadlake.functions.labels import sentiment_label
 from threadlake.functions.lookup import MAX_TABLE_WORDS, let, literal_lookup
 from threadlake.functions.phrases import merge_phrases
 from threadlake.functions.text import clean_html, squeeze_spaces, word_tokens
-from threadlake.functions.word_tables import WordTable, fits, word_lookup
+from threadlake.functions.word_tables import KNOWN, ROW, WordTable, fits, word_lookup
 
 # Fixed values of the published method.
 DEGREE_STEP = 0.293
@@ -327,7 +327,7 @@ def add_sentiment(
     scored = rows.withColumn("sentiment_score", let(total, score)).withColumn(
         "sentiment_label", sentiment_label(F.col("sentiment_score"))
     )
-    return scored.select(*df.columns, "sentiment_score", "sentiment_label")
+    return scored.drop("_clean", ROW, KNOWN)
 
 
 def lexicon_sum(text: Column, lexicon: Mapping[str, float]) -> Column:
