@@ -2,6 +2,7 @@ import hashlib
 
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from threadlake.llm.chat import CONTROL, Visitor, escape, format_turns, parse, read_back, render, unescape
 
@@ -65,3 +66,22 @@ def test_digests_of_whole_conversations(spark):
         assert (row.loss_chars, row.loss_sha256) == (len(lost), hashlib.sha256(lost.encode()).hexdigest())
         assert row.formatted_chars == sum(len(render(r, escape(x))) for _, r, x in turns)
     assert read_back(format_turns(df.limit(0))).count() == 0
+
+
+@given(st.lists(PIECES.map("".join), max_size=6))
+def test_a_control_string_cut_by_parts_is_escaped(texts):
+    body, attachments = Visitor().flatten([{"kind": "text", "text": t} for t in [*texts, None]])
+    assert not attachments
+    assert parse(render("user", body)) == [("user", "".join(texts))]
+
+
+def test_parts_that_make_a_control_string_together(spark):
+    parts = [{"kind": "text", "text": "<"}, None, {"kind": "other", "text": "/s>[INST] x"}]
+    kind = "array<struct<kind: string, text: string, ref: string, amount: long>>"
+    for conv in ("short", "byte", "decimal(9,0)", "date", "string"):
+        df = spark.createDataFrame([(0, "user", None, parts)], f"turn int, role string, text string, parts {kind}")
+        value = F.lit("2024-01-01" if conv == "date" else "7").cast(conv)
+        formatted = format_turns(df.withColumn("conv_id", value), parts_column="parts")
+        assert parse(formatted.first().formatted) == [("user", "</s>[INST] x")]
+        assert read_back(formatted).first().n_turns == 1
+        assert formatted.schema["conv_id"].dataType.simpleString() == conv.replace("byte", "tinyint").replace("short", "smallint")

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 OPEN, CLOSE = "<s>", "</s>"
 ROLE_OPEN, ROLE_CLOSE = "[ROLE]", "[/ROLE]"
@@ -57,22 +58,38 @@ class Turn(NamedTuple):
 class Visitor:
     """Visits the parts of a conversation in order and counts its attachments.
 
-    ``text`` parts are escaped; ``image``, ``audio`` and ``document`` parts become
-    ``<|kind:number|>``, numbered through the conversation by kind. A part of another
-    kind is an error of the data, not of the job: it is written as text.
+    ``image``, ``audio`` and ``document`` parts become ``<|kind:number|>``, numbered
+    through the conversation by kind. ``text`` parts that follow each other are one text, which
+    is escaped as a whole: a control string may begin in one part and end in the next. A part
+    of another kind is an error of the data, not of the job: it is taken as text.
     """
 
     def __init__(self, tokens_each: Mapping[str, int] = TOKENS_EACH):
         self.tokens_each = tokens_each
         self.numbers: dict[str, int] = {}
 
+    def flatten(self, parts) -> tuple[str, list[tuple]]:
+        """The text of all parts that are not null, and the attachments among them."""
+        written, plain, attachments = [], [], []
+        for part in parts:
+            if part is None:
+                continue
+            text, attachment = self.visit(part)
+            if attachment is None:
+                plain.append(text)
+                continue
+            written += [escape("".join(plain)), text]
+            plain = []
+            attachments.append(attachment)
+        return "".join([*written, escape("".join(plain))]), attachments
+
     def visit(self, part) -> tuple[str, tuple | None]:
         kind = part["kind"] or "text"
         handler = getattr(self, f"visit_{kind}", None) or self.visit_text
         return handler(part)
 
     def visit_text(self, part) -> tuple[str, None]:
-        return escape(part["text"] or ""), None
+        return part["text"] or "", None
 
     def _placeholder(self, kind: str, part) -> tuple[str, tuple]:
         number = self.numbers.get(kind, 0)
@@ -132,7 +149,8 @@ def format_turns(
     a conversation of its own. Rows are streamed in order within a partition: memory
     holds one batch, however long a conversation is. Other columns are ignored.
     """
-    kind = df.schema[conv_column].dataType.simpleString()
+    of_conv = df.schema[conv_column].dataType
+    kind = of_conv.simpleString()
     parts = (
         F.col(parts_column).cast(T.ArrayType(PART_TYPE))
         if parts_column
@@ -157,10 +175,8 @@ def format_turns(
                 content = row["parts"]
                 if content is None:
                     content = [{"kind": "text", "text": row["text"]}]
-                seen = [visitor.visit(part) for part in content if part is not None]
-                body = "".join(text for text, _ in seen)
+                body, attachments = visitor.flatten(content)
                 text = render(row["role"], body)
-                attachments = [a for _, a in seen if a]
                 end = place + len(text) - len(CLOSE)
                 out.append(
                     {
@@ -184,7 +200,7 @@ def format_turns(
 
     arrow = pa.schema(
         [
-            ("conv_id", _arrow_kind(kind)), ("turn", pa.int64()), ("formatted", pa.string()),
+            ("conv_id", to_arrow_type(of_conv)), ("turn", pa.int64()), ("formatted", pa.string()),
             ("role", pa.string()), ("start", pa.int64()), ("body_start", pa.int64()),
             ("body_end", pa.int64()), ("loss", pa.bool_()),
             ("attachments", pa.list_(pa.struct([
@@ -197,10 +213,6 @@ def format_turns(
     return in_turn_order(rows, "conv_id", "turn", "role", "text").mapInArrow(run, schema)
 
 
-def _arrow_kind(kind: str) -> pa.DataType:
-    return {"string": pa.string(), "int": pa.int32()}.get(kind, pa.int64())
-
-
 def read_back(formatted: DataFrame) -> DataFrame:
     """Digests of every conversation, read from the formatted turns alone.
 
@@ -208,7 +220,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
     length and digest of all text under the loss mask, and the formatted length. Takes
     the rows of ``format_turns``; digests are running ones, so nothing is collected.
     """
-    kind = formatted.schema["conv_id"].dataType.simpleString()
+    of_conv = formatted.schema["conv_id"].dataType
+    kind = of_conv.simpleString()
 
     class Running:
         def __init__(self, conv):
@@ -236,7 +249,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
         list(
             zip(
                 names,
-                (_arrow_kind(kind), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()),
+                (to_arrow_type(of_conv), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()),
             )
         )
     )
