@@ -114,3 +114,30 @@ def test_queries_from_outside_and_few_rows(spark):
     one = frame(spark, rows[:1])
     assert nearest_of_rows(one, every=1).count() == 0
     assert nearest_of_rows(one.limit(0), every=1).count() == 0
+
+
+def test_equal_products_go_to_the_smaller_ids(spark):
+    rows = [(i, [1.0, 2.0, 0.5, 0.25], 0) for i in range(199, -1, -1)]
+    got = nearest_of_rows(frame(spark, rows).coalesce(1), every=100, k=20).collect()
+    found = {q: [r.vec_id for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 100)}
+    assert found == {0: list(range(1, 21)), 100: list(range(20))}
+
+
+def test_nothing_is_left_in_the_catalog(spark):
+    nearest_of_rows(frame(spark, random_rows(40)), every=20, k=3).collect()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("threadlake_links")]
+
+
+def test_few_anchors_suffice(spark):
+    """The graph finds what anchors of under 5 % of the rows do not stand near to."""
+    rows = random_rows(1000, 8)
+    df = frame(spark, rows)
+    index = build_index(df, block=64, starts=3)
+    assert len(index.anchor_nodes) <= 2 * 1000 // neighbours.ONE_IN
+    few = index._replace(anchor_nodes=index.anchor_nodes[:20], anchor_vectors=index.anchor_vectors[:20])
+    queries = index.nodes.where("vec_id % 50 = 0").selectExpr("node AS query", "vec_id AS query_id", "node AS own", "vec")
+    found = {(r.query_id, r.vec_id) for r in search(few, queries, 10).collect()}
+    vectors = [(i, v) for i, v, _ in rows]
+    want = {(q, i) for q in range(0, 1000, 50) for _, i, _ in brute(vectors, rows[q][1], 10, q)}
+    assert len(found & want) / len(want) >= 0.9
+    spark.sql(f"DROP TABLE {index.table}")

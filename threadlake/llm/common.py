@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,18 @@ def kept(spark: SparkSession, label: str, body: Callable[[], DataFrame]) -> Data
     return spark.read.schema(schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Arrow batches of at most ``rows`` rows for what runs inside, where rows are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def map_columns(
     df: DataFrame, schema: str, body: Callable[[], Callable[[pa.RecordBatch], list]]
 ) -> DataFrame:

@@ -22,10 +22,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadlake.llm.common import written
+from threadlake.llm.common import arrow_rows, written
 from threadlake.session import shared_folder
 
-ANCHORS = 256  # the bounded sample the start is fitted on
+ANCHORS = 256  # the bounded sample that one start is fitted on
+ONE_IN = 20  # of fewer rows, anchors are this share
+GROUPS = 2048  # rows of an Arrow batch: each holds the vectors of up to some 64 nodes
 EDGES = "node long, ids array<long>, sims array<float>"
 _EDGE_SCHEMA = pa.schema(
     [("node", pa.int64()), ("ids", pa.list_(pa.int64())), ("sims", pa.list_(pa.float32()))]
@@ -35,12 +37,12 @@ _EDGE_SCHEMA = pa.schema(
 class Index(NamedTuple):
     """``nodes``: node, vec_id, vec (original), half (direction in half
     precision and share of the largest norm), norm;
-    ``graph``: node, ids, sims; ``links``: node, ids, vectors of its neighbours in both
-    directions, bucketed by node; and the anchors' nodes and extended vectors."""
+    ``graph``: node, ids, sims; ``table``: name of a table of node, ids, vectors of its neighbours
+    in both directions, bucketed by node, to be dropped after the last search; and the anchors' nodes and extended vectors."""
 
     nodes: DataFrame
     graph: DataFrame
-    links: DataFrame
+    table: str
     anchor_nodes: np.ndarray
     anchor_vectors: np.ndarray
     dimension: int
@@ -73,6 +75,11 @@ def _vectors(column: pa.Array) -> np.ndarray:
     return np.c_[x, square / (1 + np.sqrt(1 - square))].astype(np.float32)
 
 
+def _products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products, each summed in the same order: equal rows have equal products."""
+    return (rows * query).sum(axis=1)
+
+
 def _nearness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Inner products, less 1, of vectors whose norms the added components make equal."""
     return a @ b.T - a[:, -1:] - b[:, -1]
@@ -91,7 +98,8 @@ def _usable(column: str):
 def prepare(df: DataFrame, id_column: str, vector_column: str) -> tuple[DataFrame, int, float]:
     """Rows that take part, with node numbers and extended vectors; dimension and largest norm.
 
-    Where lengths differ, the most frequent one takes part (of equally frequent, the longer).
+    Nodes are numbered in the order of their ids (null first), so that of equally near ones
+    the smaller node has the smaller id. Where lengths differ, the most frequent one takes part (of equally frequent, the longer).
     """
     rows = df.select(
         F.col(id_column).cast("long").alias("vec_id"),
@@ -126,7 +134,15 @@ def prepare(df: DataFrame, id_column: str, vector_column: str) -> tuple[DataFram
                 names=["vec_id", "vec", "half", "norm"],
             )
 
-    chosen = rows.where(F.size("vec") == dimension).mapInArrow(extend, "vec_id long, vec binary, half binary, norm double")
+    # The place tells apart rows of one id, so that a range of them can be cut anywhere.
+    ordered = (
+        rows.where(F.size("vec") == dimension)
+        .withColumn("place", F.monotonically_increasing_id())
+        .repartitionByRange("vec_id", "place")
+        .sortWithinPartitions("vec_id", "place")
+        .drop("place")
+    )
+    chosen = ordered.mapInArrow(extend, "vec_id long, vec binary, half binary, norm double")
     nodes = chosen.select(F.monotonically_increasing_id().alias("node"), "vec_id", "vec", "half", "norm")
     return written(nodes, "nodes"), dimension, largest
 
@@ -289,8 +305,8 @@ def _improve(graph: DataFrame, nodes: DataFrame, k: int, join_size: int, seed: i
     return groups.mapInArrow(local, EDGES)
 
 
-def _links(graph: DataFrame, nodes: DataFrame, most: int, count: int) -> DataFrame:
-    """Each node's neighbours in both directions with their vectors, bucketed by node."""
+def _links(graph: DataFrame, nodes: DataFrame, most: int, count: int) -> str:
+    """Name of a table of each node's neighbours in both directions with their vectors, bucketed by node."""
     edges = _exploded(graph).select("node", "id")
     pairs = edges.unionByName(_backward(edges, most, 0)).distinct()
     buckets = max(8, min(4096, count // 8192))
@@ -331,7 +347,7 @@ def _links(graph: DataFrame, nodes: DataFrame, most: int, count: int) -> DataFra
         .format("parquet")
         .saveAsTable(name)
     )
-    return spark.table(name)
+    return name
 
 
 def build_index(
@@ -349,13 +365,16 @@ def build_index(
 
     Rows take part unless their vector is null, zero, or holds null or non-finite
     components. Repeated rows, also of one id, are nodes each. Rounds end early when
-    fewer than ``changed`` of all edges were replaced.
+    fewer than ``changed`` of all edges were replaced. Anchors are at most ``ANCHORS`` for
+    each start, and one in ``ONE_IN`` of fewer rows. Where vectors differ in
+    length, only those of the most frequent length take part.
     """
     nodes, dimension, _ = prepare(df, id_column, vector_column)
     if not dimension:
         return None
     count = nodes.count()
-    sampled = nodes.orderBy(F.xxhash64("node"), "node").limit(ANCHORS * starts).select("node", "half").collect()
+    share = max(starts, count // ONE_IN)
+    sampled = nodes.orderBy(F.xxhash64("node"), "node").limit(min(ANCHORS * starts, share)).select("node", "half").collect()
     anchor_nodes = np.array([r["node"] for r in sampled], np.int64)
     anchors = _vectors(pa.array([bytes(r["half"]) for r in sampled], pa.binary()))
     default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -376,7 +395,7 @@ def build_index(
         if not edges or kept > (1 - changed) * edges:
             break
     # Rows of the largest norms are far from all others in the graph, and often the nearest.
-    longest = nodes.orderBy(F.desc("norm"), "node").limit(ANCHORS).select("node", "half").collect()
+    longest = nodes.orderBy(F.desc("norm"), "node").limit(min(ANCHORS, share)).select("node", "half").collect()
     first = {int(n): v for n, v in zip(anchor_nodes, anchors)}
     first |= dict(zip((r["node"] for r in longest), _vectors(pa.array([bytes(r["half"]) for r in longest], pa.binary()))))
     links = _links(graph, nodes, k, count)
@@ -408,7 +427,8 @@ def search(
 
     ``queries`` has ``query`` (a number of its own), ``query_id``, ``own`` (the query's node,
     or null if it is no row of the index) and ``vec`` (doubles as bytes). In each step
-    the ``width`` best nodes of a pool of ``pool`` that were not followed yet are.
+    the ``width`` best nodes of a pool of ``pool`` that were not followed yet are. Of equal
+    products the smaller id comes first. Repeated query ids are queries of their own.
     """
     shared = queries.sparkSession.sparkContext.broadcast((index.anchor_nodes, index.anchor_vectors))
 
@@ -419,11 +439,10 @@ def search(
                 continue
             vectors = _stack(batch.column(1), "<f8")
             rows = []
-            for query, asked, own, sims in zip(
-                batch.column(0).to_pylist(), batch.column(1).to_pylist(),
-                batch.column(2).to_pylist(), vectors @ anchors[:, :-1].T,
+            for query, asked, own, vector in zip(
+                batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), vectors
             ):
-                ids = nodes
+                ids, sims = nodes, _products(anchors[:, :-1], vector)
                 if own is not None:
                     # The own node stands first, and once, whatever its product is.
                     other = nodes != own
@@ -441,8 +460,8 @@ def search(
                 width_of = len(blob.as_buffer()) // max(1, len(ids))
                 offsets = np.arange(len(ids) + 1, dtype=np.int32) * width_of
                 column = pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), blob.as_buffer()])
-                sims = _vectors(column)[:, :-1] @ np.frombuffer(asked.as_buffer(), "<f8").astype(np.float32)
-                best = np.argsort(-sims, kind="stable")[: 2 * width]
+                sims = _products(_vectors(column)[:, :-1], np.frombuffer(asked.as_buffer(), "<f8").astype(np.float32))
+                best = np.lexsort((ids, -sims))[: 2 * width]
                 ids_out.append(ids[best])
                 sims_out.append(sims[best])
             if ids_out:
@@ -479,7 +498,7 @@ def search(
     state = written(queries.select("query", "vec", "own").mapInArrow(begin, STATE), "pool")
     for _ in range(steps):
         follow = state.select("query", "asked", F.explode("now").alias("node"))
-        met = follow.join(index.links, "node").select("query", "asked", "ids", "vectors")
+        met = follow.join(queries.sparkSession.table(index.table), "node").select("query", "asked", "ids", "vectors")
         hits = met.mapInArrow(score, "node long, ids array<long>, sims array<float>")
         found = hits.groupBy(F.col("node").alias("query")).agg(
             F.collect_list(F.struct("ids", "sims")).alias("found")
@@ -511,12 +530,20 @@ def search(
 def nearest_of_rows(
     df: DataFrame, every: int, id_column: str = "vec_id", vector_column: str = "embedding", k: int = 20, **options
 ) -> DataFrame:
-    """The ``k`` nearest other rows of each row whose id is divisible by ``every``."""
-    index = build_index(df, id_column, vector_column, **options)
-    if index is None:
-        spark = df.sparkSession
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    queries = index.nodes.where(F.col("vec_id") % every == 0).select(
-        F.col("node").alias("query"), F.col("vec_id").alias("query_id"), F.col("node").alias("own"), "vec"
-    )
-    return search(index, queries, k)
+    """The ``k`` nearest other rows of each row whose id is divisible by ``every``.
+
+    Rows of a null id are found, but ask nothing. Repeated rows of one id ask each, and find
+    each other. Vectors that take no part (see ``build_index``) neither ask nor are found.
+    """
+    spark = df.sparkSession
+    with arrow_rows(spark, GROUPS):
+        index = build_index(df, id_column, vector_column, **options)
+        if index is None:
+            return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        queries = index.nodes.where(F.col("vec_id") % every == 0).select(
+            F.col("node").alias("query"), F.col("vec_id").alias("query_id"), F.col("node").alias("own"), "vec"
+        )
+        found = search(index, queries, k)
+    # The steps of the search are written; nothing reads the table any more.
+    spark.sql(f"DROP TABLE {index.table}")
+    return found
