@@ -9,7 +9,8 @@ used, and neither brings the rows of a hot key to one task.
   would not if the distinct list were joined as it comes from its aggregation.)
 - Against the keys of whole tables (``split_orphans``, ``flag_known_parents``,
   ``rows_with_key``, ``rows_without_key``): membership is decided on the distinct
-  keys of both sides, each of which a map-side combine leaves once. The rows only
+  keys of both sides, each of which a map-side combine leaves once (dense whole numbers
+  as bitmaps of 32,768 ids each, see ``key_bitmaps``). The rows only
   meet the shorter of the two lists that result. Usually few parents are missing,
   so the rows are not shuffled at all.
 """
@@ -22,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from threadlake.operators import key_bitmaps
 from threadlake.session import stage, staged_path
 
 _KEY = "_threadlake_key"
@@ -76,13 +78,20 @@ class Membership:
 
 
 def membership(df: DataFrame, column: str, keys: DataFrame) -> Membership:
-    """Look up each distinct non-null key of ``df`` once. Written to the shared folder."""
+    """Look up each distinct non-null key of ``df`` once. Written to the shared folder.
+
+    Dense whole numbers meet as bitmaps, all other keys as lists; the result is the same.
+    """
     spark = df.sparkSession
-    wanted = _renamed(key_set(df, key=column))
-    existing = keys.select(F.col(keys.columns[0]).alias("_existing")).distinct()
-    parted = wanted.join(existing, F.col(_KEY) == F.col("_existing"), "left").select(
-        _KEY, F.col("_existing").isNotNull().alias(_KNOWN)
-    )
+    ours = df.select(F.col(column).alias(_KEY))
+    if key_bitmaps.are_dense(ours, keys):
+        parted = key_bitmaps.parted(ours, keys, _KEY, _KNOWN)
+    else:
+        wanted = key_set(ours, key=_KEY)
+        existing = keys.select(F.col(keys.columns[0]).alias("_existing")).distinct()
+        parted = wanted.join(existing, F.col(_KEY) == F.col("_existing"), "left").select(
+            _KEY, F.col("_existing").isNotNull().alias(_KNOWN)
+        )
     seen = Observation(f"membership-{uuid.uuid4().hex}")
     path = staged_path(spark, "membership")
     parted.observe(
@@ -95,8 +104,8 @@ def membership(df: DataFrame, column: str, keys: DataFrame) -> Membership:
     def part(flag: str, count: int) -> DataFrame:
         # A folder of its own, so that Spark knows the size of this part alone.
         if not count:
-            return spark.createDataFrame([], wanted.schema)
-        return spark.read.schema(wanted.schema).parquet(f"{path}/{_KNOWN}={flag}")
+            return spark.createDataFrame([], ours.schema)
+        return spark.read.schema(ours.schema).parquet(f"{path}/{_KNOWN}={flag}")
 
     return Membership(
         part("true", counts["known"]),
