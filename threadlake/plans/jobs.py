@@ -28,8 +28,14 @@ from threadlake.operators.integrity import (
     rows_with_key,
     rows_without_key,
 )
+from threadlake.operators.observations import (
+    engagement_of,
+    merge_observations,
+    past_count,
+    state_of,
+)
 from threadlake.operators.sentiment import SentimentRules, add_sentiment
-from threadlake.operators.temporal import HISTORY_COLUMNS, engagement_metrics
+from threadlake.operators.temporal import HISTORY_COLUMNS
 from threadlake.operators.threads import MAX_DEPTH, expand_threads
 from threadlake.operators.topics import MAX_FEATURES, TOP_N, top_terms
 from threadlake.plans.reports import run_reports
@@ -48,7 +54,14 @@ from threadlake.schemas import (
 )
 from threadlake.session import rows_frame, stage, staging_run
 from threadlake.sources.layout import Lake
-from threadlake.sources.readers import ARRIVAL, read_lines, read_partition, read_window
+from threadlake.sources.observed import load_observed, save_observed, write_times
+from threadlake.sources.readers import (
+    ARRIVAL,
+    days_before,
+    read_dates,
+    read_lines,
+    read_partition,
+)
 from threadlake.sources.state import load_state, read_snapshot, save_state
 from threadlake.sources.writers import RECORDS_PER_FILE, NothingToWrite, write_partition
 
@@ -326,7 +339,13 @@ def _input_stats(
 def transform_day(
     spark: SparkSession, lake: Lake, date: str, config: JobConfig = JobConfig()
 ) -> dict[str, object]:
-    """Processed to output: engagement, topics, sentiment, check, publish."""
+    """Processed to output: engagement, topics, sentiment, check, publish.
+
+    Earlier observations come from the state of the last day transformed, except
+    for days written since, which are read from their processed rows.
+    """
+    window = [*days_before(date, config.window_days), date]
+    times = write_times(spark, lake, "processed", "stories", window)
     stories = read_partition(spark, lake, "processed", "stories", date, PROCESSED_STORY, "parquet")
     comments = read_partition(
         spark, lake, "processed", "comments", date, PROCESSED_COMMENT, "parquet"
@@ -342,11 +361,18 @@ def transform_day(
         "quality_comments": None,
     }
     if story_count:
-        history = read_window(spark, lake, "stories", date, config.window_days, PROCESSED_STORY)
-        stats["historical_observations_loaded"] = history.count()
-        measured, _ = stage(
-            engagement_metrics(stories, history.select(*HISTORY_COLUMNS), date), "engagement"
+        state, held, unread = load_observed(spark, lake, date, config.window_days, times)
+        history = None
+        if unread:
+            past = read_dates(spark, lake, "processed", "stories", unread, PROCESSED_STORY)
+            history = past.select(*HISTORY_COLUMNS)
+        merged, _ = stage(
+            merge_observations(stories, history, state, date, config.window_days, held),
+            "observations",
         )
+        stats["historical_observations_loaded"] = past_count(merged)
+        save_observed(state_of(merged, date, config.window_days), lake, date, config.window_days, times)
+        measured = engagement_of(merged)
         with_topics = top_terms(
             measured,
             top_n=config.top_n_topics,

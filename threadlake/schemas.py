@@ -76,6 +76,16 @@ TRACKING_STATE = _struct(
     ("last_score", _LONG), ("last_descendants", _LONG),
 )
 
+OBSERVED_STATE = _struct(
+    ("id", _LONG),
+    ("seen", T.ArrayType(_struct(("day", _STRING), ("score", _LONG), ("descendants", _LONG)))),
+)
+
+OBSERVED_LOG = _struct(
+    ("as_of", _STRING), ("made_from", T.MapType(_STRING, _STRING)), ("ids", _LONG),
+    ("saved_at", _STRING),
+)
+
 CHECK_RESULT = _struct(
     ("name", _STRING), ("passed", T.BooleanType()), ("severity", _STRING),
     ("description", _STRING), ("affected_records", _LONG),

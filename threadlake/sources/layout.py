@@ -30,6 +30,14 @@ class Lake:
     def tracking_log(self) -> str:
         return f"{self.root.rstrip('/')}/metadata/tracking_log"
 
+    @property
+    def observed(self) -> str:
+        return f"{self.root.rstrip('/')}/metadata/observed"
+
+    @property
+    def observed_log(self) -> str:
+        return f"{self.root.rstrip('/')}/metadata/observed_log"
+
     def quarantine(self, entity: str) -> str:
         return f"{self.root.rstrip('/')}/metadata/quarantine/{entity}"
 
