@@ -401,6 +401,11 @@ ORACLES = {
         ("check_volume", "warning", "false"),
     ])}""",
     "engagement": f"WITH {ENGAGEMENT} SELECT * FROM engagement",
+    "engagement_by_state": f"WITH {ENGAGEMENT} SELECT * FROM engagement",
+    "job_transform_stories": f"WITH {ENGAGEMENT} SELECT * FROM engagement",
+    "observation_state": f"""
+        WITH {OBS} SELECT id, ingestion_date, score, descendants FROM obs
+        WHERE ingestion_date >= '{FIRST_DATE}' AND ingestion_date < '{TARGET_DATE}'""",
     "keep_last_rows": """
         SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice,
                l_discount, l_tax, l_returnflag, l_linestatus,

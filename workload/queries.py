@@ -12,10 +12,11 @@ from threadlake.functions.text import clean_html
 from threadlake.operators import integrity, quality, sentiment, topics, tracking
 from threadlake.operators.conform import conform_comments, conform_stories, incomplete_counts
 from threadlake.operators.dedup import keep_last, merge_prefer
+from threadlake.operators.observations import engagement_of, merge_observations, state_of
 from threadlake.operators.temporal import engagement_metrics
 from threadlake.operators.threads import expand_threads
 from threadlake.plans import jobs, reports
-from threadlake.schemas import OUTPUT_COMMENT, PROCESSED_COMMENT, PROCESSED_STORY
+from threadlake.schemas import OUTPUT_COMMENT, OUTPUT_STORY, PROCESSED_COMMENT, PROCESSED_STORY
 from threadlake.session import apply_runtime_conf, shared_folder, stage
 from threadlake.sources import state
 from threadlake.sources.layout import Lake
@@ -65,6 +66,36 @@ def engagement(spark, sf_dir):
     return _engagement(spark, sf_dir).select(*METRICS)
 
 
+def _observed_before(spark, sf_dir):
+    """The state after the day before the target, of all rows of the window up to it."""
+    seen = views.observations(spark, sf_dir)
+    before = days_before(TARGET_DATE, 1)[0]
+    merged = merge_observations(seen, seen, None, before, WINDOW_DAYS)
+    return state_of(merged, before, WINDOW_DAYS)
+
+
+@query
+def observation_state(spark, sf_dir):
+    entry = F.explode("seen").alias("o")
+    return _observed_before(spark, sf_dir).select("id", entry).select(
+        "id", F.col("o.day").alias("ingestion_date"), "o.score", "o.descendants"
+    )
+
+
+@query
+def engagement_by_state(spark, sf_dir):
+    """The target day by the state; two of its days count as written again and are read."""
+    state, _ = stage(_observed_before(spark, sf_dir), "observed")
+    seen = views.observations(spark, sf_dir)
+    window = days_before(TARGET_DATE, WINDOW_DAYS)
+    again = [window[1], window[4]]
+    merged = merge_observations(
+        seen, seen.where(F.col("ingestion_date").isin([window[0], *again])), state, TARGET_DATE,
+        WINDOW_DAYS, [d for d in window[1:] if d not in again],
+    )
+    return engagement_of(merged).select(*METRICS)
+
+
 # Dedup and merge.
 
 
@@ -580,6 +611,26 @@ def job_transform_day(spark, sf_dir):
     return saved.select("id", "parent", "sentiment_score", "sentiment_label", "ingestion_date")
 
 
+@query
+def job_transform_stories(spark, sf_dir):
+    """Stories of a week through the job: a day by its state, later days read, output read back."""
+    lake = Lake(f"{shared_folder(spark)}/lakes/{uuid.uuid4().hex}")
+    seen = views.observations(spark, sf_dir).withColumns(
+        {"title": F.col("id").cast("string"), "type": F.lit("story"), "by": F.lit("u"), "text": F.lit("")}
+    )
+    seen, _ = stage(seen, "observations")
+    for day in [*days_before(TARGET_DATE, WINDOW_DAYS), TARGET_DATE]:
+        rows = seen.where(F.col("ingestion_date") == day)
+        columns = [
+            (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in PROCESSED_STORY.fields if f.name != "ingestion_date"
+        ]
+        write_partition(rows.select(*columns), lake, "processed", "stories", day)
+    for day in (days_before(TARGET_DATE, 3)[0], TARGET_DATE):
+        jobs.transform_day(spark, lake, day, jobs.JobConfig(window_days=WINDOW_DAYS))
+    return read_table(spark, lake, "output", "stories", OUTPUT_STORY, TARGET_DATE).select(*METRICS)
+
+
 @query
 def job_process_stories(spark, sf_dir):
     lake = _landed(spark, sf_dir)
