@@ -2,7 +2,17 @@ import html
 
 import pytest
 
-from threadlake.llm.html_wrappers import Wrapper, align, extract_text, fold, infer, main_text, tokens_of
+from threadlake.llm.html_wrappers import (
+    Wrapper,
+    align,
+    block_hash,
+    blocks_in_slots,
+    extract_text,
+    fold,
+    infer,
+    main_text,
+    tokens_of,
+)
 
 SHELL = (
     "<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t='</p>';</script></head>"
@@ -114,3 +124,45 @@ def test_rows(spark):
     assert sorted(((r.page_id, r.url, r.text) for r in got), key=repr) == sorted(want, key=repr)
     assert all(r.n_chars == len(r.text) for r in got)
     assert extract_text(df.limit(0)).count() == 0
+
+
+MENU = "<div><ul><li>Home</li><li>About us</li></ul></div>"
+NOTE = "<p>Read our rules before you write</p>"
+
+
+def unmarked(i, extra=""):
+    return f"<body>{MENU}<div><h2>Head {i}</h2><p>Text number {i} of this host, longer than its menu and its rules</p>{extra}</div></body>"
+
+
+def test_texts_that_all_pages_of_a_host_share_are_its_template(spark):
+    def wanted(i, *more):
+        return "\n\n".join([f"Head {i}", f"Text number {i} of this host, longer than its menu and its rules", *more])
+
+    rows, want = [], {}
+    for i in range(12):
+        # A list item of one page that reads as the menu of its host does, in another slot.
+        extra, more = ("<ol><li>Home</ol>", ["Home"]) if i == 7 else ("", [])
+        rows.append((i, "http://menu.example/", unmarked(i, NOTE + extra)))
+        want[i] = wanted(i, *more)
+    # Copies of one page, near ones and two pages only are no ground for a template.
+    for i in range(20, 24):
+        rows.append((i, "http://copies.example/", unmarked(20)))
+        want[i] = "\n\n".join(["Home", "About us", wanted(20)])
+    body = "<p>A long text that all of these pages share, as they are copies of it</p><p>And one more</p>"
+    for i in range(30, 36):
+        rows.append((i, "http://near.example/", f"<article>{body}<p>edit {i}</p></article>"))
+        want[i] = f"A long text that all of these pages share, as they are copies of it\n\nAnd one more\n\nedit {i}"
+    for i in range(40, 42):
+        rows.append((i, "http://two.example/", unmarked(i)))
+        want[i] = "\n\n".join(["Home", "About us", wanted(i)])
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    assert {r.page_id: r.text for r in extract_text(df).collect()} == want
+
+
+def test_fixed_texts_count_in_their_slot_only():
+    source = unmarked(1, NOTE)
+    items = infer([fold(tokens_of(source)[0])])
+    slots = dict((block, slot) for slot, block in blocks_in_slots(source, Wrapper(items)))
+    fixed = [(slots[b], block_hash(b)) for b in ("Home", "About us")]
+    assert main_text(source, Wrapper(items, fixed)).startswith("Head 1\n\n")
+    assert main_text(source, Wrapper(items, [(s + 1, h) for s, h in fixed])).startswith("Home\n\n")

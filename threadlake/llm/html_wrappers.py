@@ -2,9 +2,10 @@
 
 The tag streams of a host's pages are folded and aligned into one union-free regular
 expression: a repeated stretch becomes a group with ``+``, a mismatch becomes an
-optional group, and between the tags stand text slots (``Wrapper.slots``). The wrapper
-decides no text yet: which texts of a page are kept follows from the tags open on the page
-itself, and those in menus, adverts, forms and the like are left out.
+optional group, and between the tags stand text slots (``Wrapper.slots``). A text that all
+pages of the host have in a slot is a fixed string of the wrapper, as a tag is; what varies is
+data, and a page's text is its data. Texts in menus, adverts, forms and the like vary too:
+those are left out by the tags that are open on the page itself.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from typing import Any
 
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,7 @@ NO_TEXT_HINTS = frozenset(
 )
 REGION_HINTS = frozenset("article main content post story".split())
 LONGEST_REPEAT = 12
+LEAST_PAGES = 3  # different articles that must have a text in a slot before it is fixed
 
 
 def mark_of(name: str, rest: str, inside: bool) -> str:
@@ -215,10 +218,14 @@ def infer(skeletons: Iterable[list]) -> list:
 
 
 class Wrapper:
-    """A wrapper ready to read pages: which slot each text of a page fills."""
+    """A wrapper ready to read pages: which slot each text of a page fills, and its fixed texts.
 
-    def __init__(self, items: list):
+    ``fixed`` holds pairs of a slot and the hash of a block.
+    """
+
+    def __init__(self, items: list, fixed: Iterable[tuple[int, int]] = ()):
         self.items = items
+        self.fixed = frozenset(fixed)
         self.size = 0
         self.program = self._number(items)
 
@@ -321,11 +328,36 @@ def content_of(tags: list[str]) -> list[bool]:
     return keep
 
 
-def main_text(page: str | None, wrapper: Wrapper | None) -> str:
-    """Blocks of the content slots in page order; a page that no wrapper fits is read by itself."""
+def block_hash(block: str) -> int:
+    return xxhash.xxh3_64_intdigest(block.encode("utf-8", "surrogatepass")) >> 1
+
+
+def blocks_in_slots(page: str | None, wrapper: Wrapper | None) -> list[tuple[int | None, str]]:
+    """Blocks that the page's own tags allow, in page order, with the slots they fill.
+
+    -1 is the slot before any tag; a page that the wrapper does not fit has no slots.
+    """
     tags, texts = tokens_of(page or "")
-    wanted = [text for text, kept in zip(texts, content_of(tags)) if kept]
-    return "\n\n".join(block for text in wanted for block in blocks_of(text))
+    found = wrapper.slots(tags) if wrapper else None
+    slots = [None] * len(texts) if found is None else [-1, *found]
+    return [
+        (slot, block)
+        for slot, text, kept in zip(slots, texts, content_of(tags)) if kept
+        for block in blocks_of(text)
+    ]
+
+
+def main_text(page: str | None, wrapper: Wrapper | None) -> str:
+    """The blocks of a page that are data of its wrapper, in page order.
+
+    A page that no wrapper fits is read by its own tags alone. So is one whose fixed
+    texts are the larger part: that is a copy of other pages and not a template filled in.
+    """
+    blocks = blocks_in_slots(page, wrapper)
+    fixed = wrapper.fixed if wrapper else frozenset()
+    data = [b for slot, b in blocks if not fixed or (slot, block_hash(b)) not in fixed]
+    whole = [b for _, b in blocks]
+    return "\n\n".join(data if 2 * sum(map(len, data)) >= sum(map(len, whole)) else whole)
 
 
 def host_of(column: str):
@@ -364,6 +396,62 @@ def wrappers_of(df: DataFrame, url_column: str = "url", html_column: str = "html
     return whole.withColumnRenamed("stream", "wrapper")
 
 
+def _reader():
+    """A function from a wrapper's JSON and its fixed texts to the wrapper, with a cache of bounded size."""
+    known: dict[tuple, Wrapper] = {}
+
+    def wrapper_of(text: str | None, fixed: Sequence | None = None) -> Wrapper | None:
+        if text is None:
+            return None
+        key = (text, tuple((f["slot"], f["block"]) for f in fixed or ()))
+        if key not in known:
+            if len(known) > 1000:
+                known.clear()
+            known[key] = Wrapper(json.loads(text), key[1])
+        return known[key]
+
+    return wrapper_of
+
+
+def fixed_texts(pages: DataFrame, wrappers: DataFrame) -> DataFrame:
+    """``host, fixed``: slots and hashes of the blocks that all pages have which fill the slot.
+
+    Pages count as different if their longest blocks are; of a host's copies of one article, near
+    ones too, mostly one counts. Only hashes are shuffled, equal ones once a task, and a host
+    has no more fixed texts than a page has blocks.
+    """
+
+    def body():
+        wrapper_of = _reader()
+
+        def one(batch: pa.RecordBatch) -> list:
+            hosts, slots, hashes, articles = [], [], [], []
+            for host, page, wrapper in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                blocks = blocks_in_slots(page, wrapper_of(wrapper))
+                if not blocks or blocks[0][0] is None:
+                    continue
+                filled = {(slot, block_hash(block)) for slot, block in blocks}
+                hosts += [host] * len(filled)
+                slots += [slot for slot, _ in filled]
+                hashes += [block for _, block in filled]
+                articles += [block_hash(max((block for _, block in blocks), key=len))] * len(filled)
+            return [
+                pa.array(hosts, pa.string()), pa.array(slots, pa.int32()),
+                pa.array(hashes, pa.int64()), pa.array(articles, pa.int64()),
+            ]
+
+        return one
+
+    rows = pages.join(wrappers, "host").select("host", "html", "wrapper")
+    filled = written(
+        map_columns(rows, "host string, slot int, block long, article long", body).distinct(), "filled"
+    )
+    of_slots = filled.select("host", "slot", "article").distinct().groupBy("host", "slot").agg(F.count(F.lit(1)).alias("n"))
+    of_blocks = filled.groupBy("host", "slot", "block").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_PAGES)
+    fixed = of_blocks.join(of_slots, ["host", "slot", "n"])
+    return fixed.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("slot", "block"))).alias("fixed"))
+
+
 def extract_text(
     df: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html"
 ) -> DataFrame:
@@ -371,10 +459,10 @@ def extract_text(
 
     A null or empty html gives an empty text, a null url shares the wrapper of the empty
     host, repeated rows are read each, other columns are ignored, an empty table gives no
-    rows. Wrappers are written once; their join with the pages is left to Spark, which
+    rows. Wrappers are written once; their joins with the pages are left to Spark, which
     broadcasts them where their measured size allows it and else splits hot hosts.
     """
-    wrappers = written(wrappers_of(df, url_column, html_column), "wrappers")
+    shapes = written(wrappers_of(df, url_column, html_column), "wrappers")
     kind = df.schema[id_column].dataType.simpleString()
     rows = df.select(
         F.col(id_column).alias("page_id"),
@@ -382,24 +470,16 @@ def extract_text(
         F.col(html_column).cast("string").alias("html"),
         host_of(url_column).alias("host"),
     )
-    joined = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "wrapper")
+    wrappers = written(shapes.join(fixed_texts(rows, shapes), "host", "left"), "wrappers")
+    joined = rows.join(wrappers, "host", "left").select("page_id", "url", "html", "wrapper", "fixed")
 
     def body():
-        known: dict[str, Wrapper] = {}
-
-        def wrapper_of(text: str | None) -> Wrapper | None:
-            if text is None:
-                return None
-            if text not in known:
-                if len(known) > 1000:
-                    known.clear()
-                known[text] = Wrapper(json.loads(text))
-            return known[text]
+        wrapper_of = _reader()
 
         def one(batch: pa.RecordBatch) -> list:
             texts = [
-                main_text(page.as_py(), wrapper_of(wrapper.as_py()))
-                for page, wrapper in zip(batch.column(2), batch.column(3))
+                main_text(page, wrapper_of(wrapper, fixed))
+                for page, wrapper, fixed in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)))
             ]
             return [
                 batch.column(0), batch.column(1), pa.array(texts, pa.string()),
