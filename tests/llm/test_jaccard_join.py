@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from threadlake.llm import jaccard_join
 from threadlake.llm.components import components
 from threadlake.llm.jaccard_join import keep_one, similar_classes
 
@@ -89,3 +90,28 @@ def test_components_of_chains_stars_and_loops(spark):
     assert {got[i] for i in range(41)} == {0}
     assert {got[100 + i] for i in range(30)} == {100}
     assert {got[i] for i in (200, 201, 202)} == {200} and got[300] == 300
+
+
+def test_a_group_of_near_copies_is_not_compared_pair_by_pair(spark, monkeypatch):
+    # Copies of two edits are linked with the text itself only, those of one edit with each other too.
+    base = [f"b{i}" for i in range(150)]
+    rng, rows = random.Random(5), [(0, " ".join(base))]
+    for doc in range(1, 301):
+        words = list(base)
+        for place in rng.sample(range(8, 140, 9), 1 + (doc % 2)):
+            words[place] = f"new{doc}x{place}"
+        rows.append((doc, " ".join(words)))
+    counts, plain = [], jaccard_join.written
+
+    def counted(df, label):
+        out = plain(df, label)
+        if label == "likely":
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "written", counted)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in similar_classes(df).collect()), key=repr)
+    assert got == brute(rows, 4, 85)
+    assert {c for _, _, c in got} == {0}
+    assert 0 < sum(counts) < 4 * len(rows)

@@ -5,7 +5,7 @@ share: by hash, but shingles that stand in more than ``common`` prefixes come la
 rarer of them first. Two sets that are similar enough share a shingle of their prefixes in
 that order, so nodes are joined on prefix shingles only; pairs pass a length, a positional and
 a suffix filter and are verified once. Not all pairs of a list are made: its nodes meet a
-pivot first, which then leaves the list, and at last only nodes that are not linked yet meet.
+few pivots first, which then leave the list, and at last only nodes that are not linked yet meet.
 What a step stages is deleted when its result is written.
 """
 
@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from threadlake.llm.common import kept, map_columns, text_or_empty, written
+from threadlake.llm.common import arrow_rows, kept, map_columns, text_or_empty, written
 from threadlake.llm.components import components
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -28,6 +28,8 @@ CACHE_ENTRIES = 300_000
 SHORT = 64  # sets up to this size are kept whole, not only their prefix
 BINS = 128  # parts of the hash range that the suffix filter counts
 BROADCAST_ROWS = 1_000_000
+BATCH = 1024  # rows of an Arrow batch: each may hold two whole sets
+PIVOTS = 8  # of a long list; a list has no more than one for as many nodes
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 
@@ -199,24 +201,28 @@ class Join:
         def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             """Places in the common order; -1 in ``place`` marks a node whose head is too short."""
             for batch in batches:
-                out: list[tuple[int, int, int, int]] = []
-                for rid, n, entries in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                    kept, prefix = rule.head(n), rule.prefix(n)
-                    hot = np.sort([e["pos"] for e in entries if e["c"] > common])
-                    if kept - len(hot) < prefix and kept < n:
-                        out.append((0, rid, n, -1))
-                        continue
-                    for e in entries:
-                        if e["c"] <= common:
-                            place = e["pos"] - int(np.searchsorted(hot, e["pos"]))
-                            if place < prefix:
-                                out.append((e["h"], rid, n, place))
-                    if kept - len(hot) < prefix:
-                        rest = sorted((e["c"], e["h"]) for e in entries if e["c"] > common)
-                        for place, (_, h) in enumerate(rest, kept - len(hot)):
-                            if place < prefix:
-                                out.append((h, rid, n, place))
-                yield _rows(out)
+                rid, n = (batch.column(i).to_numpy() for i in (0, 1))
+                n = n.astype(np.int64)
+                owner, pos, h, c = _entries(batch.column(2), "pos", "h", "c")
+                prefix, hot = rule.prefix(n), c > common
+                cold = np.where(n <= SHORT, n, np.minimum(n, prefix * 5 // 4))
+                short = np.bincount(owner[hot], minlength=len(n))
+                cold = cold - short
+                short = (cold < prefix) & (cold + short < n)
+                # What is not common moves forward by the common ones before it, which come last.
+                order = np.lexsort((pos, owner))
+                earlier = np.cumsum(hot[order]) - hot[order]
+                starts = _starts(owner[order])
+                place = np.empty(len(h), np.int64)
+                place[order] = pos[order] - (earlier - earlier[starts])
+                late = np.flatnonzero(hot)
+                late = late[np.lexsort((h[late], c[late], owner[late]))]
+                place[late] = cold[owner[late]] + np.arange(len(late)) - _starts(owner[late])
+                keep = (place < prefix[owner]) & ~short[owner]
+                yield _postings_batch(
+                    np.r_[h[keep], np.zeros(short.sum(), np.int64)], np.r_[rid[owner[keep]], rid[short]],
+                    np.r_[n[owner[keep]], n[short]], np.r_[place[keep], np.full(short.sum(), -1)],
+                )
 
         first = written(shared.select("rid", "n", "e").mapInArrow(ordered, POSTING), "postings")
         short = first.where("place < 0").select("rid")
@@ -229,11 +235,11 @@ class Join:
         if least is None:
             return first.where("place >= 0").unionByName(more)
         hot = counts.where(F.col("c") > common).select("h", F.lit(True).alias("hot"))
-        candidates = heads.where(F.col("h") >= least) if least > 0 else heads
-        met = candidates.join(lone, "h").join(short, "rid", "left_anti").join(sizes, "rid")
+        candidates = self.nodes.select("rid", "n", F.posexplode("head").alias("pos", "h")).where(F.col("h") >= least)
+        met = written(candidates.join(_sized(lone), "h").join(short, "rid", "left_anti"), "met")
         # Hot shingles before it move it forward.
         own = self.nodes.join(met.select("rid").distinct(), "rid").select("rid", F.posexplode("head").alias("p", "h"))
-        before = own.join(hot, "h").groupBy("rid").agg(F.collect_list("p").alias("hot_at"))
+        before = written(own.join(hot, "h").groupBy("rid").agg(F.collect_list("p").alias("hot_at")), "before")
         placed = met.join(before, "rid", "left").select(
             "h", "rid", "n",
             (F.col("pos") - F.coalesce(F.size(F.filter("hot_at", lambda x: x < F.col("pos"))), F.lit(0)))
@@ -256,14 +262,21 @@ class Join:
 
         def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for rid, n, blob, entries in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                    shingles = np.frombuffer(blob, np.int64)
+                sizes = batch.column(1).to_numpy()
+                owner, h, c = _entries(batch.column(3), "h", "c")
+                bounds = np.searchsorted(owner, np.arange(len(sizes) + 1))
+                best = []
+                for n, blob, a, b in zip(sizes.tolist(), batch.column(2), bounds[:-1], bounds[1:]):
+                    shingles = np.frombuffer(blob.as_buffer(), np.int64)
                     weight = np.zeros(n, np.int64)
-                    if entries:
-                        at = np.searchsorted(shingles, [e["h"] for e in entries])
-                        weight[at] = [e["c"] for e in entries]
-                    best = np.lexsort((np.arange(n), weight))[: rule.prefix(n)]
-                    yield _rows([(int(shingles[p]), rid, n, i) for i, p in enumerate(best)])
+                    weight[np.searchsorted(shingles, h[a:b])] = c[a:b]
+                    best.append(shingles[np.argsort(weight, kind="stable")[: rule.prefix(n)]])
+                if best:
+                    lengths = [len(x) for x in best]
+                    yield _postings_batch(
+                        np.concatenate(best), np.repeat(batch.column(0).to_numpy(), lengths),
+                        np.repeat(sizes, lengths), np.concatenate([np.arange(x) for x in lengths]),
+                    )
 
         return written(
             sets.join(late, "rid", "left").select("rid", "n", "shingles", "e").mapInArrow(ordered, POSTING), "postings"
@@ -283,12 +296,16 @@ class Join:
 
         def ordered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                out = []
-                for rid, n, entries in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                    alone = n - len(entries)
-                    found = sorted((e["c"], e["h"]) for e in entries)[: max(0, rule.prefix(n) - alone)]
-                    out += [(h, rid, n, place) for place, (_, h) in enumerate(found, alone)]
-                yield _rows(out)
+                rid, n = (batch.column(i).to_numpy() for i in (0, 1))
+                n = n.astype(np.int64)
+                owner, c, h = _entries(batch.column(2), "c", "h")
+                order = np.lexsort((h, c, owner))
+                owner, h = owner[order], h[order]
+                alone = n - np.bincount(owner, minlength=len(n))
+                place = alone[owner] + np.arange(len(h)) - _starts(owner)
+                keep = place < rule.prefix(n)[owner]
+                owner = owner[keep]
+                yield _postings_batch(h[keep], rid[owner], n[owner], place[keep])
 
         ordered_rows = entries.join(sets.select("rid", "n"), "rid").select("rid", "n", "e")
         return written(ordered_rows.mapInArrow(ordered, POSTING), "postings")
@@ -378,9 +395,10 @@ class Join:
         """Links (a, b) between nodes that make the same classes as all links do.
 
         First each node meets one pivot only, whatever its lists are; that links nearly all
-        of a group of copies. Then the nodes of different classes meet the pivot of each list,
-        which leaves the list, as all others of it have met it, and at last what is left. A
-        pair that was compared in one step is left out of the next.
+        of a group of copies. Then the nodes of different classes meet the pivots of each list,
+        which leave the list, as all others of it have met them, and at last what is left. A
+        pair that was compared in one step is left out of the next. A long list has several
+        pivots, as in a group of near copies one is linked with a part of the others only.
         """
         lists = self._kept("lists", self.lists)
         labels = links = compared = None
@@ -389,18 +407,26 @@ class Join:
             if open_.isEmpty():
                 break
             if step < pivot_rounds:
-                # One pivot a list, the same one in most lists of a group of near copies.
-                pivots = open_.groupBy("o", "h").agg(
-                    F.min_by(F.struct("rid", "n", "place", "label"), F.xxhash64("rid", F.lit(step))).alias("p")
-                ).select("o", "h", "p.*")
+                # Few rarer shingles before it: that node is near the middle of a group of near copies and
+                # has most links. Else by hash, which takes the same ones in most lists of a group.
+                middle = F.struct(F.when(F.col("o") == 1, F.col("place")).otherwise(0), F.xxhash64("rid", F.lit(step)), "rid")
+                if step:
+                    first = Window.partitionBy("o", "h").orderBy(middle)
+                    ranked = open_.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= PIVOTS)
+                    pivots = ranked.where((F.col("_rank") == 1) | (F.col("_rank") * PIVOTS <= F.col("m"))).drop("_rank", "m")
+                else:
+                    pivots = open_.groupBy("o", "h").agg(
+                        F.min_by(F.struct("rid", "n", "place", "label"), middle).alias("p")
+                    ).select("o", "h", "p.*")
                 met = open_.join(_second(pivots), ["o", "h"]).where("rid <> rid2")
                 if step:
-                    lists = open_.drop("label").join(pivots.select("o", "h", "rid"), ["o", "h", "rid"], "left_anti")
+                    lists = open_.drop("label", "m").join(pivots.select("o", "h", "rid"), ["o", "h", "rid"], "left_anti")
             else:
                 met = open_.join(_second(open_), ["o", "h"]).where("rid < rid2")
             pairs = self._possible(met.where("label <> label2"))
             if not step:
-                pairs = pairs.groupBy("rid").agg(F.min_by("rid2", F.xxhash64("rid2", F.lit(step))).alias("rid2"))
+                nearest = F.struct(F.when(F.col("o") == 1, F.col("place2")).otherwise(0), F.xxhash64("rid2", F.lit(step)))
+                pairs = pairs.groupBy("rid").agg(F.min_by("rid2", nearest).alias("rid2"))
             pairs = pairs.select(F.least("rid", "rid2").alias("a"), F.greatest("rid", "rid2").alias("b")).distinct()
             if compared is not None:
                 pairs = pairs.join(compared, ["a", "b"], "left_anti")
@@ -414,11 +440,13 @@ class Join:
 
 
 def _unlinked(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """The lists with the class of each node, without lists that are of one class."""
+    """The lists with the class of each node and their sizes (``m``), without lists that are of one class."""
     of_nodes = labels.select(F.col("node").alias("rid"), "label")
     known = lists.join(of_nodes, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
-    spread = known.groupBy("o", "h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    return known.join(spread.select("o", "h"), ["o", "h"], "left_semi")
+    spread = known.groupBy("o", "h").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m")
+    ).where("lo < hi")
+    return known.join(spread.select("o", "h", "m"), ["o", "h"])
 
 
 def _sized(rows: DataFrame) -> DataFrame:
@@ -438,12 +466,24 @@ POSTING = "h long, rid long, n int, place int"
 _POSTING_SCHEMA = pa.schema([("h", pa.int64()), ("rid", pa.int64()), ("n", pa.int32()), ("place", pa.int32())])
 
 
-def _rows(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+def _postings_batch(*columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_POSTING_SCHEMA)], schema=_POSTING_SCHEMA
+        [pa.array(x.astype(f.type.to_pandas_dtype())) for x, f in zip(columns, _POSTING_SCHEMA)], schema=_POSTING_SCHEMA
     )
 
 
+def _entries(lists: pa.ListArray, *names: str) -> tuple[np.ndarray, ...]:
+    """The row of each entry of a column of lists of structs, then its fields; a null list has no entries."""
+    inner = lists.flatten()
+    lengths = np.diff(lists.offsets.to_numpy())
+    return np.repeat(np.arange(len(lists)), lengths), *(inner.field(name).to_numpy().astype(np.int64) for name in names)
+
+
+def _starts(owner: np.ndarray) -> np.ndarray:
+    """For each entry of sorted owners the place of its owner's first one."""
+    return np.searchsorted(owner, owner)
+
+
 def _second(df: DataFrame) -> DataFrame:
     keys = ["o", "h"]
     return df.select(*keys, *[F.col(c).alias(f"{c}2") for c in df.columns if c not in keys])
@@ -467,7 +507,8 @@ def similar_classes(
     worked on, not which links are found.
     """
     rule = Similarity(words, percent)
-    return kept(df.sparkSession, "classes", lambda: _classes(df, rule, id_column, text_column, common))
+    with arrow_rows(df.sparkSession, BATCH):
+        return kept(df.sparkSession, "classes", lambda: _classes(df, rule, id_column, text_column, common))
 
 
 def _classes(df: DataFrame, rule: Similarity, id_column: str, text_column: str, common: int) -> DataFrame:
