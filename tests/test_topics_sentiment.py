@@ -64,6 +64,48 @@ def test_titles_are_not_shuffled_for_scoring(spark):
     assert "Exchange" not in plan(topics.score_terms(df, vocabulary))
 
 
+ODD_TITLES = [
+    "alpha alpha beta gamma delta", "beta", "Alpha, the beta", None, "", "  ", "a b c", "the of and",
+    "\u0130stanbul \u039f\u0394\u039f\u03a3", "\u039f\u0394\u039f\u03a3's x_1 42", "beta", "zeta zeta gamma", "gamma zeta",
+]
+
+
+@pytest.mark.parametrize(
+    "options",
+    [{}, {"max_features": 3}, {"stop_words": []}, {"stop_words": ["beta", "x_1"], "top_n": 2}, {"max_features": 2_000}],
+)
+def test_staged_top_terms_are_the_top_terms(spark, options):
+    df = titles(spark, *ODD_TITLES).unionAll(titles(spark, "beta gamma", "beta gamma"))
+    staged, count = topics.stage_top_terms(df, "terms", **options)
+    want = topics.top_terms(df, **options)
+    assert (staged.columns, count, rows(staged)) == (want.columns, df.count(), rows(want))
+    assert staged.schema["dominant_topics"].dataType == want.schema["dominant_topics"].dataType
+
+
+def test_staged_top_terms_without_rows_or_words(spark):
+    for df in (titles(spark, None, " ", "the of"), titles(spark, "x").where("false")):
+        staged, count = topics.stage_top_terms(df, "terms")
+        assert (count, rows(staged)) == (df.count(), rows(df.selectExpr("*", "NULL")))
+
+
+def test_frequent_terms_read_each_word_once(spark):
+    df = titles(spark, *ODD_TITLES)
+    found = topics.frequent_terms(df, max_features=4)
+    assert rows(found) == rows(topics.fit_vocabulary(df, max_features=4), "term", "tf")
+    assert "array_distinct" not in plan(found)
+
+
+def test_the_job_makes_no_words_of_titles_distinct(spark, monkeypatch):
+    from threadlake.plans import jobs
+
+    def none(*args, **kwargs):
+        raise AssertionError("the vocabulary of all titles with its document frequencies")
+
+    monkeypatch.setattr(topics, "fit_vocabulary", none)
+    staged, count = jobs.stage_top_terms(titles(spark, "alpha beta", "beta"), "terms")
+    assert (count, rows(staged, "dominant_topics")) == (2, [("alpha,beta",), ("beta",)])
+
+
 def score(spark, text, lexicon=None, rules=None):
     df = spark.createDataFrame([(text,)], "text string")
     return add_sentiment(df, "text", lexicon, rules).first()

@@ -37,7 +37,7 @@ from threadlake.operators.observations import (
 from threadlake.operators.sentiment import SentimentRules, add_sentiment
 from threadlake.operators.temporal import HISTORY_COLUMNS
 from threadlake.operators.threads import MAX_DEPTH, expand_threads
-from threadlake.operators.topics import MAX_FEATURES, TOP_N, top_terms
+from threadlake.operators.topics import MAX_FEATURES, TOP_N, stage_top_terms
 from threadlake.plans.reports import run_reports
 from threadlake.schemas import (
     COMMENT,
@@ -66,6 +66,7 @@ from threadlake.sources.state import load_state, read_snapshot, save_state
 from threadlake.sources.writers import RECORDS_PER_FILE, NothingToWrite, write_partition
 
 ROW_KEY = ["id", PARTITION_COLUMN]
+TOPICS = "dominant_topics"
 
 
 @dataclass(frozen=True)
@@ -373,15 +374,15 @@ def transform_day(
         stats["historical_observations_loaded"] = past_count(merged)
         save_observed(state_of(merged, date, config.window_days), lake, date, config.window_days, times)
         measured = engagement_of(merged)
-        with_topics = top_terms(
-            measured,
+        with_topics, stats["stories_enriched"] = stage_top_terms(
+            measured.select(*[name for name in OUTPUT_STORY.fieldNames() if name != TOPICS]),
+            "stories-out",
+            output=TOPICS,
             top_n=config.top_n_topics,
             max_features=config.max_features,
             stop_words=config.stop_words,
         )
-        stories_out, stats["stories_enriched"] = stage(
-            with_topics.select(*OUTPUT_STORY.fieldNames()), "stories-out"
-        )
+        stories_out = with_topics.select(*OUTPUT_STORY.fieldNames())
     if comment_count:
         scored = add_sentiment(comments, "text", config.lexicon, config.sentiment_rules)
         comments_out, stats["comments_enriched"] = stage(
