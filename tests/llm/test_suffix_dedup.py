@@ -2,6 +2,8 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -93,3 +95,72 @@ def test_empty_table_kept_bytes_and_nothing_left_behind(spark):
         remove_repeats(df, length=0)
     with pytest.raises(ValueError):
         remove_repeats(df, length=129)
+
+
+def blocks_of(documents, plan):
+    """A block of each list of texts."""
+    schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("text", pa.binary())])
+    return [
+        suffix_dedup.Block(pa.table([range(len(texts)), [1_000 * i + j for j in range(len(texts))], texts], schema=schema), plan)
+        for i, texts in enumerate(documents)
+    ]
+
+
+def pieces_of(blocks, plan):
+    """The pieces that each block sends."""
+    sent = pa.concat_tables([block.keys().sent(i) for i, block in enumerate(blocks)])
+    bits = [{} for _ in blocks]
+    for bucket in range(plan.buckets):
+        rows = sent.filter(pc.equal(sent["bucket"], bucket))
+        if rows.num_rows:
+            for row in suffix_dedup._answer_keys(plan)(rows).to_pylist():
+                bits[row["block"]][bucket] = row["payload"]
+    return [block.pieces(mine) for block, mine in zip(blocks, bits)]
+
+
+def test_a_passage_of_many_blocks_goes_in_pieces():
+    rng = np.random.default_rng(3)
+    passage, plan = rng.bytes(400), Plan(50, 8)
+    blocks = blocks_of([[rng.bytes(60) + passage + rng.bytes(60)] for _ in range(300)], plan)
+    for pieces in pieces_of(blocks, plan):
+        # 351 windows, each with its text, if they went by themselves.
+        assert 10 < len(pieces.values) < 60
+        assert sum(len(row.as_py()) for row in pieces.sent(0)["keys"]) < 8_000
+
+
+def test_an_anchor_is_spread_for_the_pieces_that_differ():
+    rng = np.random.default_rng(4)
+    data = np.frombuffer(rng.bytes(2_000_000), np.uint8)
+    least = np.argmin(suffix_dedup.gram_hashes(data, 16))
+    common = data[least : least + 16].tobytes()  # the anchor wherever it stands
+
+    def text():
+        return rng.bytes(33) + common + rng.bytes(33)
+
+    plan, one = Plan(50, 4, 100), text()
+    single = pieces_of(blocks_of([[one] * 60, [one] * 60], plan), plan)
+    assert [len(pieces.values) for pieces in single] == [1, 1]
+    many = pieces_of(blocks_of([[text() for _ in range(60)] for _ in range(2)], plan), plan)
+    assert [len(pieces.values) for pieces in many] == [60 * 33] * 2
+    assert [len(p.values) for p in pieces_of(blocks_of([[text() for _ in range(49)] for _ in range(2)], plan), plan)] == [49] * 2
+
+
+@pytest.mark.parametrize("values", [np.array([3, -1, 1 << 40], "<i8"), np.array([], "<u4"), np.array([b"ab", b"c\0d", b""], "S5")])
+def test_what_is_sent_is_read_back(values):
+    got = suffix_dedup.opened(suffix_dedup.squeezed(values), values.dtype.str.replace("|", ""))
+    assert got.dtype == values.dtype and list(got) == list(values)
+
+
+def test_shuffle_files_go_with_their_step(spark, monkeypatch):
+    name, kinds = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", []
+    before = spark.conf.get(name)
+    for step in ("stage", "stage_bucketed"):
+        monkeypatch.setattr(
+            suffix_dedup, step, lambda *a, run=getattr(suffix_dedup, step): (kinds.append(spark.conf.get(name)), run(*a))[1]
+        )
+    rows = [(1, "x" * 60), (2, "pre " + "x" * 60)]
+    remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert kinds == ["true"] * 3 and spark.conf.get(name) == before
+    with pytest.raises(ZeroDivisionError):
+        remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), finish=lambda out: 1 // 0)
+    assert spark.conf.get(name) == before

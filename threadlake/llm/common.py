@@ -61,6 +61,22 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.set(name, before)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """For what runs inside, Spark deletes a query's shuffle files as soon as it ends.
+
+    Without that they stay until the driver happens to collect its garbage. A frame that is
+    run twice inside is shuffled twice.
+    """
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def map_columns(
     df: DataFrame, schema: str, body: Callable[[], Callable[[pa.RecordBatch], list]]
 ) -> DataFrame:

@@ -21,11 +21,11 @@ def padded(data: np.ndarray) -> np.ndarray:
     return np.concatenate([data, np.zeros(WORD, np.uint8)])
 
 
-def _words(data: np.ndarray, places: np.ndarray, wanted: int) -> np.ndarray:
+def words(data: np.ndarray, places: np.ndarray, wanted: int) -> np.ndarray:
     """The ``wanted`` bytes at each place as big-endian numbers."""
     every = np.ndarray(len(data) - WORD + 1, ">u8", data, strides=(1,))
-    words = every[places].astype(np.uint64)
-    return words >> np.uint64(8 * (WORD - wanted)) if wanted < WORD else words
+    found = every[places].astype(np.uint64)
+    return found >> np.uint64(8 * (WORD - wanted)) if wanted < WORD else found
 
 
 def sort_suffixes(data: np.ndarray, starts: np.ndarray, length: int, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
@@ -49,7 +49,7 @@ def _multikey(data: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndar
     places = np.arange(len(starts))  # where in the order there is something left to sort
     group = np.zeros(len(starts), np.int64)
     for at in range(0, depth, WORD):
-        character = _words(data, starts[order[places]] + at, min(WORD, depth - at))
+        character = words(data, starts[order[places]] + at, min(WORD, depth - at))
         # Quicksort on the character; parts that were apart before stay apart.
         by = np.argsort(character, kind="stable") if at == 0 else np.lexsort((character, group))
         order[places] = order[places][by]
@@ -110,8 +110,8 @@ def _compare(
     equal = np.flatnonzero(ours != leaves)
     for at in range(depth, length, WORD):
         wanted = min(WORD, length - at)
-        one = _words(data, ours[equal] + at, wanted)
-        two = _words(data, leaves[equal] + at, wanted)
+        one = words(data, ours[equal] + at, wanted)
+        two = words(data, leaves[equal] + at, wanted)
         unlike = one != two
         rows = equal[unlike]
         if len(rows):

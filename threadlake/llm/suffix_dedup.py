@@ -10,12 +10,17 @@ anchor, and windows side by side mostly share one. That decides where windows me
    of them more than one document holds. All other windows are unique and go no further.
 3. Runs of windows with such an anchor are pieces. A block sends each distinct piece once,
    with the smallest document that holds it. A bucket sorts the suffixes of its pieces by
-   deep-shallow sorting; windows that are equal lie side by side then, and their smallest
-   document is the answer, given for each piece in the order in which the block sent it.
+   deep-shallow sorting; windows that are equal lie side by side then. The answer is a bit
+   for each window, in the order in which the block sent its pieces: whether a document
+   smaller than the one sent holds it.
 4. Each block removes what its documents hold from smaller ones.
 
 However often a document, passage or line repeats, a block sends it once. An anchor of more
-than ``HOT_BLOCKS`` blocks is spread over all buckets by the content of its windows.
+than ``HOT_PIECES`` pieces, which would make its bucket a large one, is spread over all
+buckets by the content of its windows. That sends each window's text by itself, many times
+the bytes of a piece, so an anchor of many blocks that send a piece or two is not spread.
+
+What blocks send is compressed, and the shuffle files of a step go before the next one.
 """
 
 from __future__ import annotations
@@ -28,13 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from threadlake.llm.common import kept, text_or_empty
-from threadlake.llm.deep_shallow import padded, sort_suffixes
+from threadlake.llm.common import kept, shuffles_dropped, text_or_empty
+from threadlake.llm.deep_shallow import WORD, padded, sort_suffixes, words
 from threadlake.session import stage, stage_bucketed
 
 BLOCK_BYTES = 8_000_000
 MOST_BUCKETS = 100_000
-HOT_BLOCKS = 256
+# About the pieces that a bucket gets anyway, some 6 MB.
+HOT_PIECES = 1 << 16
 CHUNK = 1 << 20
 ANCHOR_BYTES = 16
 # Rows without an id come after all others: they take nothing away from anybody.
@@ -53,7 +59,7 @@ class Plan:
 
     length: int
     buckets: int
-    hot_blocks: int = HOT_BLOCKS
+    hot_pieces: int = HOT_PIECES
     k: int = field(init=False)
     most: int = field(init=False)
 
@@ -158,7 +164,10 @@ class Block:
         self.documents = np.searchsorted(self.offsets, self.starts, side="right") - 1
 
     def keys(self) -> Dealt:
-        """Distinct anchors; the lowest bit of those that several documents hold is set."""
+        """Distinct anchors, and how many pieces of each the block would send.
+
+        The lowest bit of those that several documents hold is set.
+        """
         by = np.argsort(self.anchors, kind="stable")
         anchors, documents = self.anchors[by], self.documents[by]
         new = np.ones(len(by), bool)
@@ -170,7 +179,29 @@ class Block:
         self.key_of_run = np.empty(len(by), np.int64)
         self.key_of_run[by] = np.cumsum(new) - 1
         keys = anchors[first]
-        return Dealt(keys | flags, (keys >> np.uint64(1)) % np.uint64(self.plan.buckets))
+        return Dealt(keys | flags, (keys >> np.uint64(1)) % np.uint64(self.plan.buckets), self._piece_counts(by, first))
+
+    def _piece_counts(self, by: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """For each anchor its pieces that differ, told apart by size, beginning and end."""
+        runs = np.diff(np.append(first, len(by)))
+        counts = np.ones(len(first), np.uint32)
+        several = np.flatnonzero(runs > 1)
+        if not len(several):
+            return counts
+        key = np.repeat(several, runs[several])
+        run = by[ragged(first[several], runs[several])]
+        data = padded(self.data)
+        ends = self.starts[run] + self.sizes[run] + (self.plan.length - 1)
+        marks = self.sizes[run].astype(np.uint64)
+        for at in (self.starts[run], self.starts[run] + WORD, np.maximum(ends - WORD, 0), np.maximum(ends - 2 * WORD, 0)):
+            marks = (marks ^ words(data, np.minimum(at, len(self.data)), WORD)) * MIXER
+            marks ^= marks >> np.uint64(29)
+        order = np.lexsort((marks, key))
+        key, marks = key[order], marks[order]
+        new = np.ones(len(key), bool)
+        new[1:] = (key[1:] != key[:-1]) | (marks[1:] != marks[:-1])
+        counts[several] = np.add.reduceat(new, np.flatnonzero(np.append(True, key[1:] != key[:-1])), dtype=np.uint32)
+        return counts
 
     def pieces(self, bits: dict[int, bytes]) -> Dealt:
         """Distinct pieces whose anchors are shared, given the answers to ``keys``.
@@ -224,9 +255,10 @@ class Block:
         pieces = self.pieces(bits)
         sizes = pieces.values.view(np.uint8).reshape(-1, self.plan.width)[:, -1].astype(np.int64)
         begins = np.cumsum(sizes) - sizes
-        least = np.full(int(sizes.sum()), NO_ID)
+        lower = np.zeros(int(sizes.sum()), bool)
         for bucket, places in pieces.parts():
-            least[ragged(begins[places], sizes[places])] = unpacked(answers[bucket])
+            at = ragged(begins[places], sizes[places])
+            lower[at] = np.unpackbits(np.frombuffer(answers[bucket], np.uint8), count=len(at))
         # Where removed windows start; a byte goes if the last start before it is near enough.
         last = np.full(len(self.data), -self.plan.length, np.int32)
         step = 1 << 17
@@ -234,11 +266,13 @@ class Block:
             part = slice(begin, begin + step)
             size = self.piece_sizes[part]
             at = ragged(self.piece_starts[part], size)
-            smaller = least[ragged(begins[self.piece_of[part]], size)] < np.repeat(self.owners[self.piece_documents[part]], size)
+            # A smaller document holds the window elsewhere, or the piece in this block.
+            here = pieces.owners[self.piece_of[part]] < self.owners[self.piece_documents[part]]
+            smaller = lower[ragged(begins[self.piece_of[part]], size)] | np.repeat(here, size)
             last[at[smaller]] = at[smaller]
         np.maximum.accumulate(last, out=last)
         gone = np.arange(len(last), dtype=np.int32) - last < self.plan.length
-        del last, least
+        del last, lower
         begins_here = gone.copy()
         begins_here[1:] &= ~gone[:-1]
         # Spans do not cross from one document into the next.
@@ -267,11 +301,11 @@ def _content_hash(texts: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Dealt:
-    """Values and the bucket of each; a bucket's part is in the order of the values."""
+    """Values, the bucket of each and its owner or count; a bucket's part is in the order of the values."""
 
     values: np.ndarray
     buckets: np.ndarray
-    owners: np.ndarray | None = None
+    owners: np.ndarray
 
     def parts(self) -> Iterator[tuple[int, np.ndarray]]:
         by = np.argsort(self.buckets, kind="stable")
@@ -282,7 +316,7 @@ class Dealt:
 
     def sent(self, block: int) -> pa.Table:
         rows = [
-            (block, bucket, self.values[places].tobytes(), b"" if self.owners is None else self.owners[places].tobytes())
+            (block, bucket, squeezed(self.values[places]), squeezed(self.owners[places]))
             for bucket, places in self.parts()
         ]
         columns = list(zip(*rows)) or [[], [], [], []]
@@ -290,26 +324,32 @@ class Dealt:
         return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], names=["block", "bucket", "keys", "owners"])
 
 
-def packed(sizes: np.ndarray, owners: np.ndarray) -> bytes:
-    """Runs of equal owners: how many, the length of each, the owner of each."""
-    return len(sizes).to_bytes(8, "little") + sizes.astype("u1").tobytes() + owners.astype("<i8").tobytes()
+def squeezed(values: np.ndarray) -> bytes:
+    """Compressed values; numbers by their first bytes, second bytes and so on."""
+    raw = values.view(np.uint8).reshape(-1, values.itemsize)
+    plain = (raw if values.dtype.kind == "S" else raw.T).tobytes()
+    return len(plain).to_bytes(8, "little") + pa.compress(plain, "zstd", asbytes=True)
 
 
-def unpacked(answer: bytes) -> np.ndarray:
-    count = int.from_bytes(answer[:8], "little")
-    return np.repeat(np.frombuffer(answer, "<i8", count, 8 + count), np.frombuffer(answer, "u1", count, 8))
+def opened(payload: bytes, kind: str) -> np.ndarray:
+    size = int.from_bytes(payload[:8], "little")
+    plain = np.frombuffer(pa.decompress(payload[8:], size, "zstd", asbytes=True), np.uint8)
+    if kind[0] == "S":
+        return plain.view(kind)
+    return np.ascontiguousarray(plain.reshape(np.dtype(kind).itemsize, -1).T).reshape(-1).view(kind)
 
 
 def _answer_keys(plan: Plan) -> Callable[[pa.Table], pa.Table]:
     """Which anchors of a bucket more than one document holds, and which are hot."""
 
     def answer(rows: pa.Table) -> pa.Table:
-        sent = [np.frombuffer(row.as_py(), "<u8") for row in rows.column("keys")]
+        sent = [opened(row.as_py(), "<u8") for row in rows.column("keys")]
         keys = np.concatenate(sent)
+        counts = np.concatenate([opened(row.as_py(), "<u4") for row in rows.column("owners")])
         distinct, place, times = np.unique(keys >> np.uint64(1), return_inverse=True, return_counts=True)
         several = times > 1
         several[place[(keys & np.uint64(1)) > 0]] = True
-        shared, hot = several[place], (times > plan.hot_blocks)[place]
+        shared, hot = several[place], (np.bincount(place, counts) > plan.hot_pieces)[place]
         ends = np.cumsum([len(part) for part in sent])
         answers = [
             np.packbits(np.concatenate([shared[end - len(part) : end], hot[end - len(part) : end]])).tobytes()
@@ -321,11 +361,11 @@ def _answer_keys(plan: Plan) -> Callable[[pa.Table], pa.Table]:
 
 
 def _answer_pieces(plan: Plan) -> Callable[[pa.Table], pa.Table]:
-    """The smallest document that holds each window of a bucket's pieces."""
+    """Which windows of a bucket's pieces a smaller document holds than the one sent."""
 
     def answer(rows: pa.Table) -> pa.Table:
-        sent = [np.frombuffer(row.as_py(), f"S{plan.width}") for row in rows.column("keys")]
-        owners = np.concatenate([np.frombuffer(row.as_py(), "<i8") for row in rows.column("owners")])
+        sent = [opened(row.as_py(), f"S{plan.width}") for row in rows.column("keys")]
+        owners = np.concatenate([opened(row.as_py(), "<i8") for row in rows.column("owners")])
         distinct, place = np.unique(np.concatenate(sent), return_inverse=True)
         own = np.full(len(distinct), NO_ID)
         np.minimum.at(own, place, owners)
@@ -339,19 +379,13 @@ def _answer_pieces(plan: Plan) -> Callable[[pa.Table], pa.Table]:
         least[order] = np.repeat(
             np.minimum.reduceat(own[piece[order]], begins), np.diff(np.append(begins, len(order)))
         )
-        # Runs of windows of a piece with one owner.
-        new = np.ones(len(least), bool)
-        new[1:] = (least[1:] != least[:-1]) | (piece[1:] != piece[:-1])
-        first = np.flatnonzero(new)
-        run_sizes, run_owners = np.diff(np.append(first, len(least))), least[first]
-        runs = np.bincount(piece[first], minlength=len(distinct))
-        run_begins = np.cumsum(runs) - runs
+        begins = np.cumsum(sizes) - sizes
         answers, end = [], 0
         for part in sent:
-            mine = place[end : end + len(part)]
+            mine, sender = place[end : end + len(part)], owners[end : end + len(part)]
             end += len(part)
-            at = ragged(run_begins[mine], runs[mine])
-            answers.append(packed(run_sizes[at], run_owners[at]))
+            at = ragged(begins[mine], sizes[mine])
+            answers.append(np.packbits(least[at] < np.repeat(sender, sizes[mine])).tobytes())
         return _answers(rows, 1, answers)
 
     return answer
@@ -403,14 +437,15 @@ def remove_repeats(
     length: int = 50,
     finish: Callable[[DataFrame], DataFrame] = lambda out: out,
     block_bytes: int = BLOCK_BYTES,
-    hot_blocks: int = HOT_BLOCKS,
+    hot_blocks: int = HOT_PIECES,
 ) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept``: a row for every row.
 
     Every byte goes that is covered by a string of ``length`` bytes (at most 128) which also
     starts in a document with a smaller id; ``kept`` are the bytes that stay and ``n_spans``
     the maximal removed runs. Strings are judged on the input, never across documents.
-    ``finish`` maps the result to what of it is stored in the shared folder.
+    ``finish`` maps the result to what of it is stored in the shared folder. Anchors of which
+    blocks send more than ``hot_blocks`` pieces are spread.
 
     A null text is empty; a document shorter than ``length`` loses nothing. Rows with equal
     ids take nothing from each other, so repeated rows stay. A row without an id comes after
@@ -439,7 +474,8 @@ def remove_repeats(
         return finish(own.cogroup(answers).applyInArrow(_remover(plan), RESULT))
 
     try:
-        return kept(spark, "suffix-dedup", found)
+        with shuffles_dropped(spark):
+            return kept(spark, "suffix-dedup", found)
     finally:
         if name:
             spark.sql(f"DROP TABLE IF EXISTS {name}")
